@@ -145,19 +145,15 @@ def annotate(df: DataFrame, rule_list, column: str = "_violations") -> DataFrame
 
 
 def _long_form(df: DataFrame, rule_list, rows_alias: str, prefix: str) -> DataFrame:
-    spark = df.sparkSession
-    meta = spark.createDataFrame(
-        [(i, r.name, r.column, r.action, r.text) for i, r in enumerate(rule_list)],
-        "rule_idx int, expectation string, column_name string, action string, expression string",
-    )
-    stacked = df.select(
-        F.col(rows_alias).alias("checked"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("rule_idx"), F.col(f"{prefix}{i}").alias("failed"))
-                            for i in range(len(rule_list))])).alias("r"),
-    ).select("checked", "r.rule_idx", "r.failed")
-    return (F.broadcast(meta).join(stacked, "rule_idx")
-            .select("rule_idx", "expectation", "column_name", "action", "expression", "checked",
-                    F.coalesce("failed", F.lit(0)).cast("long").alias("failed"))
+    """One-row wide counts → one row per rule; rule metadata rides along as literals (no join)."""
+    entries = [F.struct(F.lit(i).alias("rule_idx"), F.lit(r.name).alias("expectation"),
+                        F.lit(r.column).alias("column_name"), F.lit(r.action).alias("action"),
+                        F.lit(r.text).alias("expression"),
+                        F.coalesce(F.col(f"{prefix}{i}"), F.lit(0)).cast("long").alias("failed"))
+               for i, r in enumerate(rule_list)]
+    return (df.select(F.col(rows_alias).alias("checked"), F.explode(F.array(*entries)).alias("r"))
+            .select("r.rule_idx", "r.expectation", "r.column_name", "r.action", "r.expression", "checked",
+                    "r.failed")
             .withColumn("passed", F.col("checked") - F.col("failed")))
 
 

@@ -37,13 +37,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def stream_frame(spark: SparkSession, obj, source_path: str, fmt: str = "parquet", exclude=SCD2_COLUMNS,
-                 mode: str = "strict", read_as: str = "final", max_files_per_trigger: int | None = None) -> DataFrame:
-    """The streaming plan: read with the contract's schema, convert, cast, gate, project to the write shape."""
+                 mode: str = "strict", read_as: str = "final", max_files_per_trigger: int | None = None,
+                 operational: dict | None = None, options: dict | None = None) -> DataFrame:
+    """The streaming plan: read with the contract's schema, convert, cast, gate, project to the write shape.
+
+    ``operational`` adds loader columns (operational metadata) such as ``{"_source_file":
+    F.col("_metadata.file_name")}``; they flow through uncast like any excluded column.
+    """
     obj = object_spec(obj)
     reader = spark.readStream.schema(read_schema(obj, exclude, read_as=read_as)).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     df = reader.load(source_path)
+    if operational:
+        df = df.withColumns(operational)
     df = convert(load(df, obj, exclude, read_as="source"), obj, exclude, mode=mode)
     checked = rename_cast(df, obj, exclude, mode=mode)
     rule_list = rules(obj, checked.columns)
