@@ -49,7 +49,7 @@ def _cmp(c: Column, op: str, v: Column) -> Column:
 def _temporal_bound(value, dtype: T.DataType, fmt) -> Column:
     if isinstance(dtype, T.TimestampType) and isinstance(fmt, str):
         # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction)
-        return F.to_timestamp(F.lit(str(value)), F.lit(fmt))
+        return F.to_timestamp(F.lit(str(value)), fmt)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit(str(value)).cast(dtype)
     return F.lit(str(value))

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,14 +133,16 @@ def decode_text(text: str) -> str:
     return json.dumps(res, default=str)
 
 
-def decode_contracts(contracts: DataFrame) -> DataFrame:
-    """``(path, prefix, text)`` → one row per file with the decoded fields (K3 inputs, objects, properties JSON)."""
-    import pandas as pd
+@F.pandas_udf(T.StringType())
+def _decode(texts: pd.Series) -> pd.Series:
+    return texts.map(decode_text)
+
 
-    @F.pandas_udf("string")
-    def _decode(texts: pd.Series) -> pd.Series:
-        return texts.map(decode_text)
+def decode_contracts(contracts: DataFrame) -> DataFrame:
+    """``(path, prefix, text)`` → one row per file with the decoded fields (K3 inputs, objects, properties JSON).
 
+    The decoder is an Arrow-batched pandas UDF over one row per file, so files are decoded in parallel.
+    """
     return contracts.select("path", "prefix", F.from_json(_decode("text"), DECODED_DDL).alias("d")) \
                     .select("path", "prefix", "d.*")
 
@@ -292,19 +295,22 @@ def type_errors(resolved: DataFrame) -> DataFrame:
             .select("contract", "object", "path", F.lit("ODCS-TYPE-001").alias("code"), F.col("error").alias("reason")))
 
 
+def _err(code: str, reason: Column) -> Column:
+    return F.struct(F.lit(code).alias("code"), reason.cast("string").alias("reason"))
+
+
 def contract_errors(decoded: DataFrame) -> DataFrame:
     """K3: ``(path, code, reason)`` for files that are not exactly one mapping with the required top-level fields."""
-    return (decoded.select("path", F.explode(F.array(
-        F.when(F.col("error").isNotNull(), F.struct(F.lit("ODCS-IO-002").alias("code"), F.col("error").alias("reason"))),
+    checks = F.array(
+        F.when(F.col("error").isNotNull(), _err("ODCS-IO-002", F.col("error"))),
         F.when(F.col("error").isNull() & (F.col("n_docs") != 1),
-               F.struct(F.lit("ODCS-IO-003").alias("code"),
-                        F.concat(F.lit("expected one document, found "), F.col("n_docs").cast("string")))),
-        F.when((F.col("n_docs") == 1) & ~F.col("is_mapping"),
-               F.struct(F.lit("ODCS-IO-004").alias("code"), F.lit("the document is not a mapping").alias("reason"))),
+               _err("ODCS-IO-003", F.concat(F.lit("expected one document, found "), F.col("n_docs").cast("string")))),
+        F.when((F.col("n_docs") == 1) & ~F.col("is_mapping"), _err("ODCS-IO-004", F.lit("the document is not a mapping"))),
         F.when(F.size("missing") > 0,
-               F.struct(F.lit("ODCS-CFG-062").alias("code"),
-                        F.concat(F.lit("missing required fields: "), F.array_join("missing", ", ")))),
-    )).alias("e")).filter(F.col("e").isNotNull()).select("path", "e.code", "e.reason"))
+               _err("ODCS-CFG-062", F.concat(F.lit("missing required fields: "), F.array_join("missing", ", ")))),
+    )
+    return (decoded.select("path", F.explode(F.filter(checks, lambda x: x.isNotNull())).alias("e"))
+            .select("path", "e.code", "e.reason"))
 
 
 # ---- R7: stage schemas -------------------------------------------------------------------------------------
