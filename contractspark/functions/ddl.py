@@ -81,11 +81,14 @@ def normalize_col(c: Column) -> Column:
 
 def fold_col(normalized: Column, depth: int = DEFAULT_FOLD_DEPTH) -> tuple[Column, Column]:
     """Return ``(folded, still_folding)``: the text after ``depth`` folds and whether one more fold would change it."""
-    cur = F.regexp_replace(normalized, LEAF_PATTERN, "@")
+    leaves = F.regexp_replace(normalized, LEAF_PATTERN, "@")
+    cur = leaves
     for _ in range(depth):
         cur = F.regexp_replace(cur, FOLD_PATTERN, "@")
     nxt = F.regexp_replace(cur, FOLD_PATTERN, "@")
-    return cur, nxt != cur
+    # most texts are scalar names: only texts with a '<' need the folds (CASE branches are evaluated lazily)
+    nested = normalized.contains("<")
+    return F.when(nested, cur).otherwise(leaves), F.when(nested, nxt != cur).otherwise(F.lit(False))
 
 
 def head_family_col(normalized: Column, families_map: Column) -> Column:

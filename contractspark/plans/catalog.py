@@ -211,10 +211,11 @@ def _scalar_resolution(df: DataFrame) -> DataFrame:
                        .when(lt.isin("integer", "number"), width)
                        .when(lt == "object", F.lit("VARIANT")))
     shape = ((lt == "object") & F.col("has_properties")) | ((lt == "array") & F.col("has_items"))
-    text = (F.when(missing | shape, F.lit(None))
+    flat = (F.when(missing, F.lit(None))
             .when(lt.isin("integer", "number") & F.col("fmt_truthy"), width)
             .when(F.col("phys_valid") & compatible, pt)
             .otherwise(logical_default))
+    text = F.when(shape, F.lit(None)).otherwise(flat)
     error = (F.when(missing, F.concat(F.lit("missing "), F.concat_ws(" and ", F.array(
                 F.when(pt.isNull() | (pt == ""), F.lit("physicalType")),
                 F.when(lt.isNull() | (lt == ""), F.lit("logicalType"))))))
@@ -223,7 +224,7 @@ def _scalar_resolution(df: DataFrame) -> DataFrame:
              .when(text.isNull(), F.concat(F.lit("logical type cannot be mapped: "), lt))
              .when(F.col("phys_too_deep"), F.lit("physical type nested deeper than the fold depth")))
     return (df.withColumn("type_text", text).withColumn("shape", shape).withColumn("error", error)
-            .withColumn("missing_types", missing))
+            .withColumn("missing_types", missing).withColumn("flat_text", flat).withColumn("n_children", F.lit(0)))
 
 
 def resolve_types(catalog: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -247,17 +248,25 @@ def resolve_types(catalog: DataFrame, max_depth: int | None = None) -> DataFrame
                      F.lit(">")).alias("__struct"),
             F.max(F.when(F.col("is_items"), F.col("type_text"))).alias("__item"),
             F.max(F.col("type_text").isNull().cast("int")).alias("__bad"),
+            F.count(F.lit(1)).alias("__n"),
         )
         df = df.join(agg, [*keys, "path"], "left")
         at = (F.col("depth") == d) & F.col("shape") & ~F.col("missing_types")
-        df = (df.withColumn("type_text", F.when(at & (F.col("__bad") == 1), F.lit(None))
+        # a declared shape without any child row is an empty one: resolve it like a column without properties/items
+        empty = at & F.col("__n").isNull()
+        df = (df.withColumn("type_text", F.when(empty, F.col("flat_text"))
+                            .when(at & (F.col("__bad") == 1), F.lit(None))
                             .when(at & (F.col("logical_type") == "object"), F.col("__struct"))
                             .when(at, F.concat(F.lit("ARRAY<"), F.col("__item"), F.lit(">")))
                             .otherwise(F.col("type_text")))
-              .withColumn("error", F.when(at & (F.col("__bad") == 1), F.lit("a nested field cannot be resolved"))
+              .withColumn("error", F.when(empty & F.col("flat_text").isNull(),
+                                          F.lit("array without items and no usable physical type"))
+                          .when(at & (F.col("__bad") == 1), F.lit("a nested field cannot be resolved"))
                           .otherwise(F.col("error")))
-              .drop("__struct", "__item", "__bad"))
-    return _conversions(df)
+              .withColumn("n_children", F.when(F.col("depth") == d, F.coalesce(F.col("__n"), F.lit(0)))
+                          .otherwise(F.col("n_children")))
+              .drop("__struct", "__item", "__bad", "__n"))
+    return _conversions(df).drop("flat_text")
 
 
 def _conversions(df: DataFrame) -> DataFrame:

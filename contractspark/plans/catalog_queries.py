@@ -227,53 +227,61 @@ def catalog_errors(spark, d):
                        F.col("path").alias("column_name"), "code", "reason")
 
 
+# Field type per line return flag, as (code, logicalType, physicalType, text).
+FLAG_TYPES = {"A": (0, "string", "STRING"), "N": (1, "integer", "INT")}
+OTHER_FLAG_TYPE = (2, "number", "DECIMAL(12,2)")
+
+
 def nested_catalog(spark, d):
-    """Parents = orders (one object column each), children = their line items (one field per line number)."""
-    lines = (table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber")
-             .agg(F.min("l_returnflag").alias("flag")))  # the (order, line) pair repeats: one field per pair
-    kind = F.when(F.col("flag") == "A", F.struct(F.lit("string").alias("lt"), F.lit("STRING").alias("pt"))) \
-        .when(F.col("flag") == "N", F.struct(F.lit("integer").alias("lt"), F.lit("INT").alias("pt"))) \
-        .otherwise(F.struct(F.lit("number").alias("lt"), F.lit("DECIMAL(12,2)").alias("pt")))
+    """Parents = orders (one object column each), children = their line items (one field per line number).
+
+    An (order, line) pair can repeat; it becomes one field whose type is the smallest type code of its rows
+    (a hash aggregate on integers). An order without lines is an object without properties (VARIANT).
+    """
+    code = F.lit(OTHER_FLAG_TYPE[0])
+    for flag, (c, _, _) in reversed(list(FLAG_TYPES.items())):
+        code = F.when(F.col("l_returnflag") == flag, F.lit(c)).otherwise(code)
+    lines = (table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(code).alias("code")))
+    by_code = {c: (lt, pt) for c, lt, pt in [*FLAG_TYPES.values(), OTHER_FLAG_TYPE]}
+    lt = F.lit(None).cast("string")
+    pt = F.lit(None).cast("string")
+    for c, (l_, p_) in by_code.items():
+        lt = F.when(F.col("code") == c, F.lit(l_)).otherwise(lt)
+        pt = F.when(F.col("code") == c, F.lit(p_)).otherwise(pt)
     parent = F.col("l_orderkey").cast("string")
     kids = lines.select(
         F.lit("orders").alias("contract"), F.lit("orders").alias("object"),
         F.concat(parent, F.lit(".l"), F.col("l_linenumber").cast("string")).alias("path"),
         parent.alias("parent_path"), F.col("l_linenumber").alias("ordinal"), F.lit(1).alias("depth"),
         F.lit(False).alias("is_items"), F.concat(F.lit("l"), F.col("l_linenumber").cast("string")).alias("name"),
-        kind["lt"].alias("logical_type"), kind["pt"].alias("physical_type"))
-    has_kids = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("has_kids", F.lit(True))
-    orders = table(spark, d, "orders").select("o_orderkey").join(has_kids, "o_orderkey", "left")
-    parents = orders.select(
+        lt.alias("logical_type"), pt.alias("physical_type"), F.lit(False).alias("has_properties"))
+    parents = table(spark, d, "orders").select(
         F.lit("orders").alias("contract"), F.lit("orders").alias("object"),
         F.col("o_orderkey").cast("string").alias("path"), F.lit(None).cast("string").alias("parent_path"),
         F.lit(0).alias("ordinal"), F.lit(0).alias("depth"), F.lit(False).alias("is_items"),
         F.col("o_orderkey").cast("string").alias("name"), F.lit("object").alias("logical_type"),
-        F.lit("NUMBER(10)").alias("physical_type"), F.coalesce("has_kids", F.lit(False)).alias("has_properties"))
+        F.lit("NUMBER(10)").alias("physical_type"), F.lit(True).alias("has_properties"))
     common = dict(physical_name=F.lit(None).cast("string"), fmt=F.lit(None).cast("string"), fmt_truthy=F.lit(False),
                   tz_false=F.lit(False), default_tz=F.lit(None).cast("string"), options=F.lit("{}"),
                   required=F.lit(False), primary_key=F.lit(False), pk_position=F.lit(0), critical=F.lit(False),
                   description=F.lit(None).cast("string"), has_description=F.lit(False),
                   tags=F.array().cast("array<string>"), has_items=F.lit(False))
-    kids = kids.withColumns(dict(common, has_properties=F.lit(False)))
-    parents = parents.withColumns(common)
-    return parents.unionByName(kids).select(*cat.CATALOG_COLUMNS)
+    return parents.withColumns(common).unionByName(kids.withColumns(common)).select(*cat.CATALOG_COLUMNS)
 
 
 @query("catalog_nested",
-       "WITH k AS (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2), "
-       "t AS (SELECT l_orderkey, string_agg('l' || l_linenumber || ':' || CASE f WHEN 'A' THEN 'STRING' "
-       "WHEN 'N' THEN 'INT' ELSE 'DECIMAL(12,2)' END, ',' ORDER BY l_linenumber) AS s, "
+       "WITH k AS (SELECT l_orderkey, l_linenumber, min(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) "
+       "AS c FROM lineitem GROUP BY 1, 2), "
+       "t AS (SELECT l_orderkey, string_agg('l' || l_linenumber || ':' || CASE c WHEN 0 THEN 'STRING' "
+       "WHEN 1 THEN 'INT' ELSE 'DECIMAL(12,2)' END, ',' ORDER BY l_linenumber) AS s, "
        "CAST(count(*) AS BIGINT) AS n FROM k GROUP BY 1) "
        "SELECT o_orderkey, coalesce('STRUCT<' || s || '>', 'VARIANT') AS struct_type, coalesce(n, 0) AS n_fields "
        "FROM orders LEFT JOIN t ON o_orderkey = l_orderkey")
 def catalog_nested(spark, d):
-    catalog = nested_catalog(spark, d)
-    res = cat.resolve_types(catalog, max_depth=1)
-    n = catalog.filter(F.col("depth") == 1).groupBy(F.col("parent_path").alias("path")).agg(
-        F.count(F.lit(1)).alias("n_fields"))
-    top = res.filter(F.col("depth") == 0).join(n, "path", "left")
-    return top.select(F.col("path").cast("long").alias("o_orderkey"), F.col("final_type").alias("struct_type"),
-                      F.coalesce("n_fields", F.lit(0)).cast("long").alias("n_fields"))
+    res = cat.resolve_types(nested_catalog(spark, d), max_depth=1)
+    return res.filter(F.col("depth") == 0).select(
+        F.col("path").cast("long").alias("o_orderkey"), F.col("final_type").alias("struct_type"),
+        F.col("n_children").cast("long").alias("n_fields"))
 
 
 def rules_catalog(spark, d):
