@@ -129,11 +129,18 @@ def save(df: DataFrame, obj, path: str | None = None, table: str | None = None,
             w = w.partitionBy(*partition_by)
         w.save(path)
         return
-    w = df.writeTo(table).using(fmt)
-    for k, v in table_tag_map(obj).items():
-        w = w.tableProperty(f"tag.{k}", v)
-    if obj.has_description and obj.description is not None:
-        w = w.tableProperty("comment", obj.description)
+    w = df.write.mode(mode).format(fmt)
     if partition_by:
-        w = w.partitionedBy(*[F.col(c) for c in partition_by])
-    w.createOrReplace()
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(table)
+    spark = df.sparkSession
+    props = {f"tag.{k}": v for k, v in table_tag_map(obj).items()}
+    if props:
+        body = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in props.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({body})")
+    if obj.has_description and obj.description is not None:
+        spark.sql(f"COMMENT ON TABLE {table} IS {_sql_str(obj.description)}")
+
+
+def _sql_str(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -251,3 +251,36 @@ def test_empty_input(shop, spark):
     checked = cs.rename_cast(cs.load(empty, o, EXCL), o, EXCL)
     s = cs.summarize(checked, cs.rules(o, checked.columns)).collect()
     assert all(r.checked == 0 and r.failed == 0 for r in s)
+
+
+def test_save_path_and_table(shop, spark, tmp_path):
+    o = shop.object("client")
+    checked = cs.rename_cast(cs.load(_client_df(spark), o, EXCL), o, EXCL).filter("client_id > 0")
+    frame = cs.write_frame(checked, o, EXCL)
+    out = str(tmp_path / "client")
+    cs.save(frame, o, path=out)
+    cs.save(frame, o, path=out)  # overwrite: rebuilt fresh, not appended
+    back = spark.read.parquet(out)
+    assert back.count() == 3 and back.columns == frame.columns
+    with pytest.raises(ValueError):
+        cs.save(frame, o)
+
+
+def test_run_contracts_writes_every_object(shop, spark, tmp_path):
+    frames = {"client": _client_df(spark).filter("`client id` > 0"),
+              "store hours": spark.createDataFrame([("s1",), ("s2",)], "store string")}
+    cs.run_contracts(frames, shop, str(tmp_path), EXCL)
+    assert spark.read.parquet(str(tmp_path / "client")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "store hours")).count() == 2
+
+
+def test_save_table_with_tags(shop, spark):
+    o = shop.object("client")
+    checked = cs.rename_cast(cs.load(_client_df(spark), o, EXCL), o, EXCL).filter("client_id > 0")
+    cs.save(cs.write_frame(checked, o, EXCL), o, table="client_tbl")
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES client_tbl").collect()}
+    assert props["tag.layer"] == "gold" and props["tag.note"] == "a:b" and props["tag.confidential"] == ""
+    assert spark.catalog.getTable("client_tbl").description == "Clients of the shop"
+    cols = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE client_tbl").collect()}
+    assert cols["client_id"] == "Surrogate key"
+    assert spark.table("client_tbl").count() == 3
