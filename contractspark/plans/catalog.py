@@ -444,11 +444,30 @@ def expectation_catalog(catalog: DataFrame) -> DataFrame:
         F.concat(F.col("q"), F.lit(" IS NULL OR ("), F.col("q"), F.lit("."), _quote(F.col("field")),
                  F.lit(" IS NOT NULL)")).alias("expression"))
     allr = fixed.unionByName(fields)
-    w = Window.partitionBy("contract", "object", "base").orderBy("column_ordinal", "rule_ordinal")
-    n = F.row_number().over(w)
-    return allr.select("contract", "object", "column_name", "column_ordinal", "rule_ordinal",
-                       F.when(n == 1, F.col("base")).otherwise(F.concat("base", F.lit("_"), n.cast("string")))
-                       .alias("expectation"), "expression", "action")
+    n = _rank_in_group(allr, ["contract", "object", "base"], "column_ordinal", "rule_ordinal")
+    return n.select("contract", "object", "column_name", "column_ordinal", "rule_ordinal",
+                    F.when(F.col("__n") == 1, F.col("base"))
+                    .otherwise(F.concat("base", F.lit("_"), F.col("__n").cast("string"))).alias("expectation"),
+                    "expression", "action")
+
+
+def _rank_in_group(df: DataFrame, group, ordinal: str, sub: str, bucket_size: int = 4096) -> DataFrame:
+    """Add ``__n``: 1-based position of each row in its group, ordered by ``(ordinal, sub)``.
+
+    A plain ``row_number`` over the group would put a whole group in one task. Instead rows are cut into ordinal
+    buckets: the rows before a bucket are counted with a ``groupBy`` (partial counts, skew-safe) and a running sum over
+    that group's buckets (one row per bucket), and the position inside a bucket is a ``row_number`` over at most
+    ``bucket_size`` ordinals.
+    """
+    b = F.floor(F.col(ordinal) / F.lit(bucket_size)).alias("__bucket")
+    with_b = df.withColumn("__bucket", b)
+    counts = with_b.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
+    inner = Window.partitionBy(*group, "__bucket").orderBy(ordinal, sub)
+    return (with_b.join(offsets, [*group, "__bucket"])
+            .withColumn("__n", F.col("__off") + F.row_number().over(inner))
+            .drop("__bucket", "__off"))
 
 
 # ---- K1 / K2: duplicate and colliding object names ---------------------------------------------------------
