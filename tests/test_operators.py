@@ -284,3 +284,24 @@ def test_save_table_with_tags(shop, spark):
     cols = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE client_tbl").collect()}
     assert cols["client_id"] == "Surrogate key"
     assert spark.table("client_tbl").count() == 3
+
+
+def test_case_insensitive_name_clash_rejected():
+    with pytest.raises(cs.ContractError) as e:
+        ObjectSpec.from_dict({"name": "t", "properties": [
+            {"name": "Amount", "logicalType": "number", "physicalType": "DOUBLE"},
+            {"name": "amount", "logicalType": "number", "physicalType": "DOUBLE"}]})
+    assert e.value.code == "ODCS-COL-001"
+
+
+def test_read_as_physical_reads_text_then_casts_loudly(spark):
+    o = ObjectSpec.from_dict({"name": "t", "properties": [
+        {"name": "i", "logicalType": "integer", "physicalType": "STRING"}]})
+    assert cs.read_schema(o, read_as="final")["i"].dataType == T.LongType()
+    assert cs.read_schema(o, read_as="physical")["i"].dataType == T.StringType()
+    ok = spark.createDataFrame([("12",)], "i string")
+    assert cs.rename_cast(cs.load(ok, o), o).first().i == 12
+    bad = spark.createDataFrame([("zz",)], "i string")
+    with pytest.raises(Exception):
+        cs.rename_cast(cs.load(bad, o), o).collect()
+    assert cs.rename_cast(cs.load(bad, o), o, mode="lenient").first().i is None
