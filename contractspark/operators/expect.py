@@ -8,6 +8,7 @@ conditional sum per rule (one scan however many rules), ``observe_rules`` collec
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import UniqueNames, col, quote, render_number, sanitize, sql_string
-from ..spec import ObjectSpec, object_spec
+from ..spec import ContractError, ObjectSpec, object_spec
 from ..types import final_type
 
 WARN, FAIL = "warn", "fail"
@@ -46,7 +47,15 @@ def _cmp(c: Column, op: str, v: Column) -> Column:
     return {">=": c >= v, "<=": c <= v, ">": c > v, "<": c < v}[op]
 
 
+# Shapes of text Spark casts to DATE / TIMESTAMP (year, year-month, date, date + time, optional zone).
+_DATE_TEXT = re.compile(r"^\s*[+-]?\d{4,6}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$")
+
+
 def _temporal_bound(value, dtype: T.DataType, fmt) -> Column:
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) and not (
+            isinstance(dtype, T.TimestampType) and isinstance(fmt, str)) and not _DATE_TEXT.match(str(value)):
+        # fail when the plan is built, not when the job runs (ANSI would raise on the first row)
+        raise ContractError("ODCS-OPT-001", f"bound {value!r} is not a date or timestamp")
     if isinstance(dtype, T.TimestampType) and isinstance(fmt, str):
         # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction)
         return F.to_timestamp(F.lit(str(value)), fmt)

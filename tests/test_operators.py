@@ -305,3 +305,20 @@ def test_read_as_physical_reads_text_then_casts_loudly(spark):
     with pytest.raises(Exception):
         cs.rename_cast(cs.load(bad, o), o).collect()
     assert cs.rename_cast(cs.load(bad, o), o, mode="lenient").first().i is None
+
+
+def test_bad_temporal_bound_fails_at_plan_time():
+    o = ObjectSpec.from_dict({"name": "t", "properties": [
+        {"name": "d", "logicalType": "date", "physicalType": "DATE", "logicalTypeOptions": {"minimum": "not-a-date"}}]})
+    with pytest.raises(cs.ContractError):
+        cs.rules(o)
+    ok = ObjectSpec.from_dict({"name": "t", "properties": [
+        {"name": "d", "logicalType": "date", "physicalType": "DATE",
+         "logicalTypeOptions": {"minimum": "2000-01-01", "maximum": "2030-12-31T00:00:00", "exclusiveMaximum": "2031"}},
+        {"name": "q", "logicalType": "date", "physicalType": "DATE", "logicalTypeOptions": {"minimum": "O'Brien"}}]})
+    with pytest.raises(cs.ContractError):
+        cs.rules(ok)
+    good = ObjectSpec.from_dict({"name": "t", "properties": [
+        {"name": "d", "logicalType": "date", "physicalType": "DATE",
+         "logicalTypeOptions": {"minimum": "2000-01-01", "exclusiveMaximum": "2031"}}]})
+    assert [r.text for r in cs.rules(good)] == ["`d` >= '2000-01-01'", "`d` < '2031'"]
