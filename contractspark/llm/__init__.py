@@ -1 +1,8 @@
 """Training-data operators: decontamination, URL and quality filters, packing, secrets, near duplicates, sharding."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import toxicity
+from contractspark.llm import decontaminate, toxicity
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return (toxicity.score(docs, model, keep=["doc_id"])
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
+
+
+@registered
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    items = F.col("contamination")["items"]
+    return found.select(
+        "doc_id", F.col("contamination")["n_words"].alias("n_words"), decontaminate.n_hit().alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"), F.col("contamination")["spans"].alias("spans"))

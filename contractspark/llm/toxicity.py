@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 def score(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text", threshold: float = 0.5,
           keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``score`` double and ``predicted`` int."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.bias, model.weights, model.factors))
     own = "__text"
     src = without(docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])]), "score", "predicted")
     carried = [c for c in src.columns if keep is None or c in keep]
@@ -179,7 +179,7 @@ def score(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text
     schema = T.StructType([*src.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, memory = sent.value, {}
+        m, memory = FactorizationMachine(*sent.value), {}
         used = (m.weights != 0) | (m.factors != 0).any(axis=1)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):  # bounded rows of factors in memory
