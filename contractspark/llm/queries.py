@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, toxicity
+from contractspark.llm import decontaminate, packing, toxicity
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,15 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("contamination")["n_words"].alias("n_words"), decontaminate.n_hit().alias("n_hit"),
         F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"), F.col("contamination")["spans"].alias("spans"))
+
+
+def word_bpe_path() -> str:
+    """The installed vocabulary that the packing queries name; its place is the operator's parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@registered
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe_path())
