@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, packing, toxicity
+from contractspark.llm import decontaminate, line_dedup, packing, toxicity
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,33 @@ def word_bpe_path() -> str:
 @registered
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe_path())
+
+
+@registered
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+ORACLE["op6_line_dedup"] = """
+WITH cut AS (
+  SELECT doc_id, text, list_filter(string_split(replace(replace(replace(replace(text, chr(10), chr(10) || chr(1)),
+    '. ', '. ' || chr(1)), '! ', '! ' || chr(1)), '? ', '? ' || chr(1)), chr(1)), lambda x: x <> '') AS l
+  FROM documents),
+w AS (
+  SELECT doc_id, unnest(range(0, len(l) - 2)) AS pos, l FROM cut WHERE len(l) >= 3),
+k AS (
+  SELECT doc_id, pos, [rtrim(rtrim(l[pos + 1], chr(10)), ' '), rtrim(rtrim(l[pos + 2], chr(10)), ' '),
+    rtrim(rtrim(l[pos + 3], chr(10)), ' ')] AS key FROM w),
+f AS (
+  SELECT doc_id, pos, first_value(doc_id) OVER o AS d0, first_value(pos) OVER o AS p0
+  FROM k WHERE length(key[1]) + length(key[2]) + length(key[3]) >= 40
+  WINDOW o AS (PARTITION BY key ORDER BY doc_id, pos)),
+c AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = d0 THEN greatest(pos, p0 + 3) ELSE pos END, pos + 3)) AS pos
+  FROM f WHERE doc_id <> d0 OR pos <> p0),
+g AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id)
+SELECT cut.doc_id, CAST(len(l) AS INTEGER) AS n_lines, CAST(coalesce(len(gone), 0) AS INTEGER) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(l, lambda x, i: NOT list_contains(gone, i - 1)), '') END) AS text_sha256
+FROM cut LEFT JOIN g USING (doc_id)
+"""
