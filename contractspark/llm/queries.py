@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, line_dedup, packing, toxicity
+from contractspark.llm import decontaminate, jaccard, line_dedup, packing, toxicity
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ SELECT cut.doc_id, CAST(len(l) AS INTEGER) AS n_lines, CAST(coalesce(len(gone),
   sha256(CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(l, lambda x, i: NOT list_contains(gone, i - 1)), '') END) AS text_sha256
 FROM cut LEFT JOIN g USING (doc_id)
 """
+
+
+@registered
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
