@@ -63,7 +63,7 @@ class Shingler:
         import xxhash
 
         memory = self.memory
-        unseen = set(words) - memory.keys()
+        unseen = set(words).difference(memory)
         if unseen:
             if len(memory) + len(unseen) > _MEMORY:
                 memory.clear()

@@ -52,7 +52,7 @@ class ChunkTokenizer:
         if len(self.chunks) > _MEMORY or len(self.stems) > _MEMORY:
             self.chunks, self.stems = {"": b""}, {"": b""}
         parts = {c: self._parts(c) for c in chunks}
-        new = sorted({p for two in parts.values() for p in two} - self.stems.keys())
+        new = sorted({p for two in parts.values() for p in two}.difference(self.stems))
         blocks = [new[i:i + 256] for i in range(0, len(new), 256)]
         for block, got in zip(blocks, self.tokenizer.encode_batch([" ".join(b) for b in blocks], add_special_tokens=False)):
             begins = np.cumsum([0] + [len(p) + 1 for p in block])
@@ -65,7 +65,7 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        unseen = {c for chunks in cut for c in chunks} - self.chunks.keys()
+        unseen = {c for chunks in cut for c in chunks}.difference(self.chunks)
         if unseen:
             known = {c for chunks in cut for c in chunks} if len(self.chunks) + len(unseen) > _MEMORY else unseen
             self._learn(known)
