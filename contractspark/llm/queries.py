@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, jaccard, line_dedup, packing, sharding, toxicity
+from contractspark.llm import decontaminate, jaccard, line_dedup, packing, secrets_scan, sharding, toxicity, url_filter
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,25 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     out = sharding.shard_by_bytes(docs, keep=["doc_id", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The rules that the URL query is asked to apply.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@registered
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
+@registered
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = secrets_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN, keep=["doc_id"])
+    of = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
+    text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("secrets", lambda x: x["kind"] != "random")
+    return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+                        F.sha2(text(base), 256).alias("base_sha256"), text(F.col("secrets")).alias("spans"))
