@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, jaccard, line_dedup, packing, secrets_scan, sharding, toxicity, url_filter
+from contractspark.llm import decontaminate, jaccard, line_dedup, packing, quality, secrets_scan, sharding, toxicity, url_filter
 from contractspark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("secrets", lambda x: x["kind"] != "random")
     return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("secrets")).alias("spans"))
+
+
+@registered
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    space = quality.train(docs, table(spark, sf_dir, "labels"))
+    return (quality.score(docs, space, keep=["doc_id"])
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
