@@ -27,6 +27,17 @@ def blank_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
 
 
+def bounded_batches(spark: SparkSession, bytes_per_batch: int = 16 << 20, rows_per_batch: int = 2000) -> None:
+    """Let Python tasks get texts in batches of at most these rows and about these bytes, unless the session asks for less.
+
+    The default of 10,000 rows is far too many where a row is a whole document.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch), ("spark.sql.execution.arrow.maxBytesPerBatch", bytes_per_batch)):
+        now = spark.conf.get(key, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether ``crc32(doc_id as text) mod folds`` is 0; a null id is never held out (and never learnt from)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

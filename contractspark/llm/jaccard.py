@@ -153,40 +153,32 @@ class _Join:
         self.id = docs.schema["_id"].dataType
         self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def classes(self) -> DataFrame:
-        """(_id, n_shingles, c1, c2) of every row."""
-        n = self.n
-
-        def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shingler = Shingler(n)
-            for batch in batches:
-                keys = [(len(r), *class_key(r)) for r in (shingler.row(t) for t in (x.as_py() for x in batch.column(1)))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([k[i] for k in keys], pa.int64()) for i in range(3))],
-                                                 ["_id", "n_shingles", "c1", "c2"])
-
-        return self.docs.mapInArrow(in_task, T.StructType([T.StructField("_id", self.id), *(T.StructField(c, T.LongType()) for c in ("n_shingles", "c1", "c2"))]))
-
-    def signed(self) -> DataFrame:
-        """(sig, c1), once per class and task."""
+    def described(self) -> DataFrame:
+        """(_id, n_shingles, c1, c2, sigs) of every row; a task gives a class's signatures once."""
         n, num, den = self.n, self.num, self.den
 
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingler, levels, seen = Shingler(n), Levels(num, den), set()
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
-                    sigs, owner = [], []
-                    for t in (x.as_py() for x in batch.column(0).slice(at, 256)):
-                        row = shingler.row(t)
-                        if len(row) and (key := class_key(row)) not in seen:
-                            seen.add(key)
-                            sigs.append(signatures(row, levels))
-                            owner.append(key[0])
-                    if sigs:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(owner, np.int64), [len(s) for s in sigs]))], ["sig", "c1"])
-
-        return self.docs.select("_text").mapInArrow(in_task, "sig long, c1 long")
-
-    def shared_signatures(self) -> DataFrame:
+                    part = batch.slice(at, 256)
+                    sizes, keys, sigs = [], [], []
+                    for text in (x.as_py() for x in part.column(1)):
+                        row = shingler.row(text)
+                        key = class_key(row)
+                        sizes.append(len(row))
+                        keys.append(key)
+                        sigs.append(np.zeros(0, np.uint64) if key in seen else signatures(row, levels))
+                        seen.add(key)
+                    ends = np.cumsum([0] + [len(s) for s in sigs]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), lists],
+                                                     ["_id", "n_shingles", "c1", "c2", "sigs"])
+
+        longs = [T.StructField(c, T.LongType()) for c in ("n_shingles", "c1", "c2")]
+        return self.docs.mapInArrow(in_task, T.StructType([T.StructField("_id", self.id), *longs, T.StructField("sigs", T.ArrayType(T.LongType()))]))
+
+    def shared_signatures(self, described: DataFrame) -> DataFrame:
         """(sig, c1) of the signatures of two classes or more; of those at a task's edges perhaps of one only."""
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig, c, told = np.zeros(0, np.int64), np.zeros(0, np.int64), False
@@ -217,7 +209,8 @@ class _Join:
             if len(sig):
                 yield out(sig, c, told, first, True)
 
-        dealt = self.signed().repartitionByRange(self.parts, "sig", "c1").sortWithinPartitions("sig", "c1")
+        signed = described.select(F.explode("sigs").alias("sig"), "c1")
+        dealt = signed.repartitionByRange(self.parts, "sig", "c1").sortWithinPartitions("sig", "c1")
         return dealt.mapInArrow(in_task, "sig long, c1 long")
 
     def rows(self, reps: DataFrame) -> DataFrame:
@@ -285,10 +278,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """(id, n_shingles, component_id) for every row of ``docs``; two rows link at Jaccard ``num / den`` or more."""
     src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     join = _Join(src, n, num, den, leaders)
-    every = stored(join.classes(), "classes")
+    described = stored(join.described(), "signatures")
+    every = described.drop("sigs")
     reps = every.where("n_shingles > 0 and _id is not null").groupBy("c1", "c2").agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("size"))
     reps = stored(reps, "reps")
-    known = stored(join.shared_signatures().join(reps, "c1").select("sig", "rep", "size"), "members").distinct()
+    known = stored(join.shared_signatures(described).join(reps, "c1").select("sig", "rep", "size"), "members").distinct()
     groups = known.groupBy("sig").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
     members = stored(known.join(groups, "sig").select("sig", "rep", "size", "lead"), "members")
     rows = stored(join.rows(reps.join(members.select("rep").distinct(), "rep").select("rep", "c1", "c2")), "rows")

@@ -13,7 +13,7 @@ one-word sentences).
 
 Defined cases: null and empty texts have no lines and stay as they are, as do texts of fewer than three lines; rows with
 the same id and text are one document and get the same result; null ids come first in the order; an empty table gives no
-rows. All columns of the input are carried; ``n_lines`` and ``n_removed`` replace columns of those names.
+rows. All columns of the input are carried; the two result columns (``names``) replace columns of those names.
 """
 
 from __future__ import annotations
@@ -67,14 +67,12 @@ def covered_lines(docs: DataFrame, least_chars: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: bool = True,
-                least_chars: int = 40) -> DataFrame:
-    """``docs`` with its text less the covered lines, and ``n_lines`` and ``n_removed``."""
-    base = without(docs, "n_lines", "n_removed")
+                least_chars: int = 40, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with its text less the covered lines, and how many lines it had and lost."""
+    base = without(docs, *names)
     text = F.col(f"`{text_col}`").cast("string")
-    # the text's columns in the result come from the join's text side only, whatever else the input is called
     keyed = base.withColumns({"_id": F.col(f"`{id_col}`"), "_th": F.xxhash64(text)})
     cut = keyed.select("_id", "_th", lines_of(F.coalesce(text, F.lit("")), sentences).alias("_lines"))
-    # rows with the same id and text would count their own windows twice: the key's first hash decides, not the row
     covered = covered_lines(cut, least_chars).withColumnsRenamed({"_id": "_cid", "_th": "_cth"})
     joined = keyed.join(covered, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_th") == F.col("_cth")), "left")
     lines = lines_of(text, sentences)
@@ -84,5 +82,5 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     out = joined.withColumns({"_l": lines, "_f": F.when(F.col("_covered").isNotNull(), fence)})
     new = F.when(F.col("_covered").isNull(), text).otherwise(F.array_join(F.flatten(kept), ""))
     return out.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in base.columns],
-                      F.coalesce(F.size("_l"), F.lit(0)).alias("n_lines"),
-                      F.coalesce(F.size("_covered"), F.lit(0)).alias("n_removed"))
+                      F.coalesce(F.size("_l"), F.lit(0)).alias(names[0]),
+                      F.coalesce(F.size("_covered"), F.lit(0)).alias(names[1]))

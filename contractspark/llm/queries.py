@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, jaccard, line_dedup, packing, quality, secrets_scan, sharding, toxicity, url_filter
-from contractspark.llm.common import held_out, table
+from contractspark.llm import decontaminate, imatch, jaccard, line_dedup, packing, quality, secrets_scan, sharding, toxicity, url_filter
+from contractspark.llm.common import bounded_batches, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def registered(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @registered
@@ -119,3 +125,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = quality.train(docs, table(spark, sf_dir, "labels"))
     return (quality.score(docs, space, keep=["doc_id"])
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
+
+
+@registered
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))

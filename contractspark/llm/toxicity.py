@@ -12,7 +12,7 @@ choice depends on nothing else) in one task; scoring is a map over all documents
 Defined cases: null or empty text has no terms and scores sigmoid(b); null doc_id is scored and is never learnt from;
 repeated rows are scored each; a document labelled twice counts as toxic if any of its labels does; without labelled
 rows (or with one class only) the model is the smoothed base rate; an empty table gives no rows. Columns of the input
-are carried as they are; ``score`` and ``predicted`` replace columns of those names.
+are carried as they are; the two result columns (``names``) replace columns of those names.
 """
 
 from __future__ import annotations
@@ -168,24 +168,22 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def score(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text", threshold: float = 0.5,
-          keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``score`` double and ``predicted`` int."""
+          keep: list[str] | None = None, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the score as double and the prediction as int."""
     sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.bias, model.weights, model.factors))
     own = "__text"
-    src = without(docs if keep is None else docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])]), "score", "predicted")
-    carried = [c for c in src.columns if keep is None or c in keep]
-    src = src.withColumn(own, docs[text_col].cast("string")) if text_col not in src.columns else src.withColumn(own, F.col(f"`{text_col}`").cast("string"))
-    src = src.select(*[F.col(f"`{c}`") for c in carried], own)
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    src = docs.withColumn(own, F.col(f"`{text_col}`").cast("string"))
+    src = without(src, *names) if keep is None else src.select(*[F.col(f"`{c}`") for c in keep], own)
+    carried, at = src.schema.fields[:-1], len(src.columns) - 1
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, memory = FactorizationMachine(*sent.value), {}
         used = (m.weights != 0) | (m.factors != 0).any(axis=1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):  # bounded rows of factors in memory
-                part = batch.slice(at, 512)
-                s = m.score(*term_buckets(part.column(part.num_columns - 1).to_pylist(), m.bits, memory, used))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
-                                                 [*part.schema.names[:-1], "score", "predicted"])
+            for start in range(0, batch.num_rows, 512):  # bounded rows of factors in memory
+                part = batch.slice(start, 512)
+                s = m.score(*term_buckets(part.column(at).to_pylist(), m.bits, memory, used))
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
+                                                 [*(f.name for f in carried), *names])
 
-    return src.mapInArrow(in_task, schema)
+    return src.mapInArrow(in_task, T.StructType([*carried, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]))

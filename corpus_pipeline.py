@@ -12,25 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractspark.llm import decontaminate, jaccard, line_dedup, packing, toxicity
-from contractspark.llm.common import stored, table
+from contractspark.llm.common import bounded_batches, stored, table
 from contractspark.llm.queries import word_bpe_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine doesn't call toxic; it learns from the labels outside the held-out fold."""
+    bounded_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.withColumn("_whole", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), model, keep=["_whole"])
-    return scored.where("predicted = 0").select("_whole.*")
+    scored = toxicity.score(docs, model, names=("_score", "_toxic"))
+    return scored.where("_toxic = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line windows; a text of which nothing is left goes."""
-    out = line_dedup.dedup_lines(docs).where("n_removed < n_lines or n_lines = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bounded_batches(spark)
+    out = line_dedup.dedup_lines(docs, names=("_lines_had", "_lines_gone")).where("_lines_gone < _lines_had or _lines_had = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id."""
+    bounded_batches(spark)
     found = jaccard.near_duplicates(docs, n=5, num=80, den=100)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -38,12 +41,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which fewer than one word in twenty lies in a benchmark phrase."""
+    bounded_batches(spark)
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), result="_found")
     return found.where(~decontaminate.is_contaminated("_found")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All kept documents as pieces of sequences of 2048 ids."""
+    bounded_batches(spark)
     return packing.pack_documents(docs, word_bpe_path())
 
 
