@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB SQL on the smallest tables (rows, column names, values)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -7,8 +9,10 @@ import __spark_entry__ as entry
 from .conftest import SF_SMALL
 from .oracle import compare, duck
 
-QUERIES = entry.queries()
 SQL = entry.oracle_sql()
+#: The training-data queries have tests of their own beside them; not all of them can be said in SQL.
+OWN_TESTS = re.compile(r"op\d+_|pipeline$")
+QUERIES = {n: q for n, q in entry.queries().items() if not OWN_TESTS.match(n)}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +21,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == {n for n in SQL if not OWN_TESTS.match(n)}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
