@@ -72,11 +72,12 @@ class WaveletMatrix:
 class FMIndex:
     """Of a sequence of symbols >= 1 in which 0 separates runs; its first and last symbol are 0."""
 
-    def __init__(self, seq: np.ndarray, every: int = 16):
+    def __init__(self, seq: np.ndarray, most: int, every: int = 16):
+        """``most``: the highest symbol that is searched for, in the sequence or not."""
         order = suffix_order(seq)
         bwt = seq[order - 1]
         self.size = len(seq)
-        self.bits = max(1, int(seq.max()).bit_length())
+        self.bits = max(1, most.bit_length())
         self.before = np.concatenate([[0], np.cumsum(np.bincount(seq, minlength=1 << self.bits))])
         self.wavelet = WaveletMatrix(bwt, self.bits)
         self.sampled = (order % every == 0) | (bwt == 0)  # every run's first position too: no walk leaves its run
@@ -179,9 +180,11 @@ def search_shard(found: list[np.ndarray], phrases: Phrases) -> tuple[list[list[i
     word_at = np.zeros(len(seq), np.int64)
     word_at[at] = place[1:]
 
-    index = FMIndex(seq)
+    index = FMIndex(seq, len(phrases.symbols))
     low, high = index.search(phrases.rows, phrases.lengths)
     hits = np.maximum(high - low, 0)
+    if not hits.any():
+        return items, spans
     which = np.repeat(np.arange(len(hits)), hits)
     start = word_at[index.locate(expand(low, hits))] - 1  # places begin at 1
     doc = np.searchsorted(first, start, side="right") - 1
@@ -197,7 +200,7 @@ def search_shard(found: list[np.ndarray], phrases: Phrases) -> tuple[list[list[i
     start, stop, doc = start[order], (start + phrases.lengths[which])[order], doc[order]
     reach = np.maximum.accumulate(stop)
     new = np.concatenate([[True], start[1:] > reach[:-1]])
-    for s, e, k in zip(start[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])] if len(start) else [], doc[new]):
+    for s, e, k in zip(start[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])], doc[new]):
         spans[k].append((int(s - first[k]), int(e - first[k])))
     return items, spans
 

@@ -149,7 +149,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["space"])
 
     sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
-    got = np.load(io.BytesIO(bytes(sample.repartition(1).mapInArrow(in_task, "space binary").first().space)))
+    sent = sample.repartition(1).mapInArrow(in_task, "space binary").first()
+    if sent is None:  # of an empty table there is no task at all
+        return learn([], [], frequency, n_docs, rank)
+    got = np.load(io.BytesIO(bytes(sent.space)))
     return Space(got["basis"], got["vectors"], got["labels"])
 
 

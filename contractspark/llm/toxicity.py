@@ -163,6 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
     sent = sample.repartition(1).mapInArrow(in_task, "model binary").collect()
+    if not sent:  # of an empty table there is no task at all
+        return fit([], [], bits, factors)
     got = np.load(io.BytesIO(bytes(sent[0].model)))
     return FactorizationMachine(bits, float(got["bias"]), got["weights"], got["factors"])
 
