@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,14 @@ def bounded_batches(spark: SparkSession, bytes_per_batch: int = 16 << 20, rows_p
             spark.conf.set(key, str(most))
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """One object per Python worker process, which runs many tasks: for what is costly to make and only saves time."""
+    kept = sys.modules.setdefault("_contractspark_llm_kept", types.ModuleType("_contractspark_llm_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether ``crc32(doc_id as text) mod folds`` is 0; a null id is never held out (and never learnt from)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

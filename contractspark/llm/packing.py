@@ -12,6 +12,7 @@ own; an empty table gives no rows; a text of any length is cut as it needs. The
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -22,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Chunks and stems that a task remembers the ids of; only a speed matter.
-_MEMORY = 250_000
+from contractspark.llm.common import per_process
+
+#: Chunks, and stems, that a worker process remembers the ids of; only a speed matter.
+_MEMORY = 500_000
 
 
 class ChunkTokenizer:
@@ -49,26 +52,26 @@ class ChunkTokenizer:
         return (chunk[:-1], chunk[-1]) if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha() and len(chunk[-2].lower()) == 1 else (chunk, "")
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) > _MEMORY or len(self.stems) > _MEMORY:
-            self.chunks, self.stems = {"": b""}, {"": b""}
         parts = {c: self._parts(c) for c in chunks}
+        if len(self.stems) > _MEMORY:
+            self.stems = {"": b""}
         new = sorted({p for two in parts.values() for p in two}.difference(self.stems))
         blocks = [new[i:i + 256] for i in range(0, len(new), 256)]
         for block, got in zip(blocks, self.tokenizer.encode_batch([" ".join(b) for b in blocks], add_special_tokens=False)):
             begins = np.cumsum([0] + [len(p) + 1 for p in block])
-            of = np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), begins)
-            ids = np.array(got.ids, "<u4")
-            for k, p in enumerate(block):
-                self.stems[p] = ids[of[k]:of[k + 1]].tobytes()
-        for c, (stem, end) in parts.items():
-            self.chunks[c] = self.stems[stem] + self.stems[end]
+            of = np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), begins) * 4
+            ids = np.array(got.ids, "<u4").tobytes()
+            self.stems.update((p, ids[of[k]:of[k + 1]]) for k, p in enumerate(block))
+        self.chunks.update((c, self.stems[stem] + self.stems[end] if end else self.stems[stem]) for c, (stem, end) in parts.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        unseen = {c for chunks in cut for c in chunks}.difference(self.chunks)
+        every = set().union(*cut)
+        unseen = every.difference(self.chunks)
+        if len(self.chunks) + len(unseen) > _MEMORY:
+            self.chunks, unseen = {}, every
         if unseen:
-            known = {c for chunks in cut for c in chunks} if len(self.chunks) + len(unseen) > _MEMORY else unseen
-            self._learn(known)
+            self._learn(unseen)
         return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
 
 
@@ -114,7 +117,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
     longs = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")]
 
     def to_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = ChunkTokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        coder = per_process(("tokenizer", tokenizer_path), lambda: ChunkTokenizer(tokenizer_path))
+        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
