@@ -274,7 +274,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100,
-                    leaders: int = 8) -> DataFrame:
+                    leaders: int = 32) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``; two rows link at Jaccard ``num / den`` or more."""
     src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     join = _Join(src, n, num, den, leaders)
