@@ -28,8 +28,6 @@ SCALAR_FAMILIES = {
     "VOID": "other", "NULL": "other",
 }
 
-DEFAULT_FOLD_DEPTH = 8
-
 _LEAF_NAMES = "|".join(sorted(list(SCALAR_FAMILIES) + ["VARIANT"], key=len, reverse=True))
 # A leaf type: a scalar name with optional, unchecked parameters, standing where a type is expected (after the start,
 # ``<``, ``,`` or ``:``) and ending where a type ends (``>``, ``,`` or the end). A name followed by ``:`` is a field.
@@ -79,16 +77,12 @@ def normalize_col(c: Column) -> Column:
     return F.regexp_replace(F.upper(F.trim(c)), SPACE_PATTERN, "$1")
 
 
-def fold_col(normalized: Column, depth: int = DEFAULT_FOLD_DEPTH) -> tuple[Column, Column]:
-    """Return ``(folded, still_folding)``: the text after ``depth`` folds and whether one more fold would change it."""
+def fold_col(normalized: Column) -> Column:
+    """The text after as many folds as it can need: one for each ``<`` in it, none for a scalar name."""
     leaves = F.regexp_replace(normalized, LEAF_PATTERN, "@")
-    cur = leaves
-    for _ in range(depth):
-        cur = F.regexp_replace(cur, FOLD_PATTERN, "@")
-    nxt = F.regexp_replace(cur, FOLD_PATTERN, "@")
-    # most texts are scalar names: only texts with a '<' need the folds (CASE branches are evaluated lazily)
-    nested = normalized.contains("<")
-    return F.when(nested, cur).otherwise(leaves), F.when(nested, nxt != cur).otherwise(F.lit(False))
+    folds = F.length(normalized) - F.length(F.replace(normalized, F.lit("<"), F.lit("")))
+    folded = F.aggregate(F.sequence(F.lit(1), folds), leaves, lambda text, _: F.regexp_replace(text, FOLD_PATTERN, "@"))
+    return F.when(folds > 0, folded).otherwise(leaves)
 
 
 def head_family_col(normalized: Column, families_map: Column) -> Column:

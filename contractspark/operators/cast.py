@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import col
-from ..spec import SCD2_COLUMNS, object_spec
+from ..spec import SCD2_COLUMNS, ContractError, object_spec
 from ..types import plan_columns
 
 
@@ -79,7 +79,7 @@ def rename_cast(df: DataFrame, obj, exclude=SCD2_COLUMNS, mode: str = "strict",
             continue
         f = present.get(p.source.lower())
         if f is None:
-            raise KeyError(f"object {obj.name!r}: column {p.source!r} not found")
+            raise ContractError("ODCS-COL-002", f"object {obj.name!r}: column {p.source!r} not found")
         used.add(f.name.lower())
         out.append(cast_to(col(f.name), f.dataType, p.final.dtype, lenient).alias(p.name))
     if keep_other:

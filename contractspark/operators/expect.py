@@ -15,19 +15,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import UniqueNames, col, quote, render_number, sanitize, sql_string
+from ..functions.names import col, number_text, numbered, quote, rule_word, string_text
+from ..functions.ruletable import FIELD_TEMPLATE, MOMENTS, OPTION_RULES, REQUIRED_SUFFIX, REQUIRED_TEMPLATE
 from ..spec import ContractError, ObjectSpec, object_spec
 from ..types import final_type
 
 WARN, FAIL = "warn", "fail"
 
-# Option name → (rule-name suffix, comparison) per logical type family, in the order rules are made.
-STRING_OPTIONS = (("minLength", "min_length", ">="), ("maxLength", "max_length", "<="), ("pattern", "pattern", "RLIKE"))
-BOUND_OPTIONS = (("minimum", "min", ">="), ("maximum", "max", "<="),
-                 ("exclusiveMinimum", "exclusive_min", ">"), ("exclusiveMaximum", "exclusive_max", "<"))
-ARRAY_OPTIONS = (("minItems", "min_items", ">="), ("maxItems", "max_items", "<="))
-
-
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -43,73 +37,60 @@ class Rule:
         return ~F.coalesce(self.predicate, F.lit(True))
 
 
-def _cmp(c: Column, op: str, v: Column) -> Column:
-    return {">=": c >= v, "<=": c <= v, ">": c > v, "<": c < v}[op]
-
-
 # Shapes of text Spark casts to DATE / TIMESTAMP (year, year-month, date, date + time, optional zone).
 _DATE_TEXT = re.compile(r"^\s*[+-]?\d{4,6}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$")
 
 
-def _temporal_bound(value, dtype: T.DataType, fmt) -> Column:
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) and not (
-            isinstance(dtype, T.TimestampType) and isinstance(fmt, str)) and not _DATE_TEXT.match(str(value)):
+def _moment_bound(c, value, dtype: T.DataType | None) -> Column:
+    """The bound of a date, timestamp or time column as a value of the column's type."""
+    if c.logical_type == "time" and isinstance(dtype, T.TimestampType) and isinstance(c.options.get("format"), str):
+        # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction)
+        return F.to_timestamp(F.lit(str(value)), c.options["format"])
+    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(str(value))
+    if not _DATE_TEXT.match(str(value)):
         # fail when the plan is built, not when the job runs (ANSI would raise on the first row)
         raise ContractError("ODCS-OPT-001", f"bound {value!r} is not a date or timestamp")
-    if isinstance(dtype, T.TimestampType) and isinstance(fmt, str):
-        # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction)
-        return F.to_timestamp(F.lit(str(value)), fmt)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit(str(value)).cast(dtype)
-    return F.lit(str(value))
+    return F.lit(str(value)).cast(dtype)
+
+
+def _field_present(c, name: str, dtype: T.DataType | None) -> Column:
+    """The object is null or its field is not; a VARIANT is asked for the field by path."""
+    ref = col(c.name)
+    if isinstance(dtype, T.VariantType):
+        step = name.replace("\\", "\\\\").replace("'", "\\'")
+        found = F.try_variant_get(ref, f"$['{step}']", "variant")
+        return ref.isNull() | (found.isNotNull() & ~F.coalesce(F.is_variant_null(found), F.lit(False)))
+    return ref.isNull() | ref.getField(name).isNotNull()
 
 
 def column_rules(c, dtype: T.DataType | None = None) -> list[tuple[str, str, str, Column]]:
-    """``(base_name, kind, text, predicate)`` for one property: required first, then its options in fixed order."""
-    name, q, s = c.name, quote(c.name), sanitize(c.name)
-    ref = col(name)
-    lt, opts = c.logical_type, c.options
+    """``(base_name, kind, text, predicate)`` for one property: required first, then its options in the table's order.
+
+    A predicate is its text as Spark parses it, so both say the same, to the last digit of a bound. Two kinds differ: moment
+    bounds are cast to the column's type, and a field of a VARIANT is looked up by path.
+    """
+    q, word = quote(c.name), rule_word(c.name)
     out = []
     if c.required:
-        out.append((f"{s}_not_null", "not_null", f"{q} IS NOT NULL", ref.isNotNull()))
-    if lt == "string":
-        for opt, suffix, op in STRING_OPTIONS:
-            if opt in opts:
-                v = opts[opt]
-                if op == "RLIKE":
-                    out.append((f"{s}_{suffix}", suffix, f"{q} RLIKE {sql_string(v)}", ref.rlike(str(v))))
-                else:
-                    out.append((f"{s}_{suffix}", suffix, f"length({q}) {op} {render_number(v)}",
-                                _cmp(F.length(ref), op, F.lit(v))))
-    elif lt in ("integer", "number"):
-        for opt, suffix, op in BOUND_OPTIONS:
-            if opt in opts:
-                v = opts[opt]
-                out.append((f"{s}_{suffix}", suffix, f"{q} {op} {render_number(v)}", _cmp(ref, op, F.lit(v))))
-        if "multipleOf" in opts:
-            text = f"{q} % {render_number(opts['multipleOf'])} = 0"
-            out.append((f"{s}_multiple_of", "multiple_of", text, F.expr(text)))
-    elif lt in ("date", "timestamp", "time"):
-        for opt, suffix, op in BOUND_OPTIONS:
-            if opt in opts:
-                v = opts[opt]
-                bound = _temporal_bound(v, dtype, opts.get("format"))
-                out.append((f"{s}_{suffix}", suffix, f"{q} {op} {sql_string(v)}", _cmp(ref, op, bound)))
-    elif lt == "array":
-        for opt, suffix, op in ARRAY_OPTIONS:
-            if opt in opts:
-                v = opts[opt]
-                text = f"{q} IS NULL OR (size({q}) {op} {render_number(v)})"
-                out.append((f"{s}_{suffix}", suffix, text, ref.isNull() | _cmp(F.size(ref), op, F.lit(v))))
-        if opts.get("uniqueItems") is True:
-            text = f"{q} IS NULL OR (size({q}) = size(array_distinct({q})))"
-            out.append((f"{s}_unique_items", "unique_items", text,
-                        ref.isNull() | (F.size(ref) == F.size(F.array_distinct(ref)))))
-    elif lt == "object":
-        for fname in opts.get("required", []) or []:
-            text = f"{q} IS NULL OR ({q}.{quote(fname)} IS NOT NULL)"
-            out.append((f"{s}_{sanitize(fname)}_not_null", "field_not_null", text,
-                        ref.isNull() | ref.getField(str(fname)).isNotNull()))
+        text = REQUIRED_TEMPLATE.format(q=q)
+        out.append((f"{word}_{REQUIRED_SUFFIX}", REQUIRED_SUFFIX, text, F.expr(text)))
+    for r in OPTION_RULES:
+        value = c.options.get(r.option)
+        if c.logical_type not in r.types or value is None or (r.literal == "none" and value is not True):
+            continue
+        text = r.template.format(q=q, v=string_text(value) if r.literal == "string" else number_text(value))
+        if c.logical_type in MOMENTS:
+            bound = _moment_bound(c, value, dtype)
+            ref = col(c.name)
+            predicate = {"min": ref >= bound, "max": ref <= bound, "exclusive_min": ref > bound, "exclusive_max": ref < bound}[r.suffix]
+        else:
+            predicate = F.expr(text)
+        out.append((f"{word}_{r.suffix}", r.suffix, text, predicate))
+    if c.logical_type == "object":
+        for name in map(str, c.options.get("required") or []):
+            out.append((f"{word}_{rule_word(name)}_{REQUIRED_SUFFIX}", "field_not_null", FIELD_TEMPLATE.format(q=q, v=quote(name)),
+                        _field_present(c, name, dtype)))
     return out
 
 
@@ -120,18 +101,12 @@ def rules(obj, columns=None) -> list[Rule]:
     are absent are left out; ``skipped_rules`` lists them.
     """
     obj: ObjectSpec = object_spec(obj)
-    unique = UniqueNames()
     present = None if columns is None else {c.lower() for c in columns}
-    out = []
-    for c in obj.columns:
-        action = FAIL if c.critical else WARN
-        dtype = _safe_dtype(c)
-        for base, kind, text, pred in column_rules(c, dtype):
-            name = unique(base)
-            if present is not None and c.name.lower() not in present:
-                continue
-            out.append(Rule(name, c.name, kind, text, action, pred))
-    return out
+    made = [(c, r) for c in obj.columns for r in column_rules(c, _resolved_dtype(c))]
+    names = numbered(base for _, (base, *_) in made)
+    return [Rule(name, c.name, kind, text, FAIL if c.critical else WARN, predicate)
+            for name, (c, (_, kind, text, predicate)) in zip(names, made)
+            if present is None or c.name.lower() in present]
 
 
 def skipped_rules(obj, columns) -> list[str]:
@@ -139,18 +114,19 @@ def skipped_rules(obj, columns) -> list[str]:
     return [r.name for r in rules(obj) if r.name not in kept]
 
 
-def _safe_dtype(c):
+def _resolved_dtype(c):
+    """The column's type, or None where it has none (planning reports that; rules can still be listed)."""
     try:
         return final_type(c).dtype
-    except Exception:
+    except ContractError:
         return None
 
 
 def annotate(df: DataFrame, rule_list, column: str = "_violations") -> DataFrame:
     """Add ``array<string>`` of the names of the rules each row breaks (empty when none). Rows are kept."""
-    flags = F.array(*[F.when(r.violated, F.lit(r.name)) for r in rule_list]) if rule_list else \
-        F.array().cast("array<string>")
-    return df.withColumn(column, F.filter(flags, lambda x: x.isNotNull()))
+    none = F.array().cast("array<string>")
+    broken = [F.when(r.violated, F.array(F.lit(r.name))).otherwise(none) for r in rule_list]  # no lambda: stays in generated code
+    return df.withColumn(column, F.concat(none, *broken))
 
 
 def _long_form(df: DataFrame, rule_list, rows_alias: str, prefix: str) -> DataFrame:
@@ -195,6 +171,8 @@ def observe_rules(df: DataFrame, rule_list, name: str = "contract_rules"):
 
 def rule_counts(observation: Observation, rule_list) -> list[dict]:
     m = observation.get
+    if "rows" not in m:
+        raise ContractError("ODCS-RUN-001", "the observed job did not finish: there are no counts to report")
     return [{"expectation": r.name, "column_name": r.column, "action": r.action, "checked": m["rows"],
              "failed": m[f"r{i}"] or 0} for i, r in enumerate(rule_list)]
 
@@ -210,8 +188,7 @@ def gate(df: DataFrame, rule_list, message: str = "contract rule failed") -> Dat
     any_bad = F.lit(False)
     for r in fails:
         any_bad = any_bad | r.violated
-    names = F.concat_ws(",", F.filter(F.array(*[F.when(r.violated, F.lit(r.name)) for r in fails]),
-                                       lambda x: x.isNotNull()))
+    names = F.concat_ws(",", *[F.when(r.violated, F.lit(r.name)) for r in fails])  # leaves nulls out
     return df.filter(F.when(~any_bad, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(f"{message}: "), names))))
 
 

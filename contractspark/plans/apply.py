@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Observation
 
 from ..operators.cast import rename_cast
 from ..operators.convert import convert
-from ..operators.expect import Rule, annotate, gate, observe_rules, rules, summarize
-from ..operators.write import primary_key, save, write_frame
+from ..operators.expect import Rule, annotate, gate, observe_rules, rules, skipped_rules, summarize
+from ..operators.write import primary_key, write_all, write_frame
 from ..sources.load import load
 from ..spec import ContractError, ContractSpec, SCD2_COLUMNS, object_spec
 
@@ -19,6 +19,7 @@ class ContractResult:
     """What ``apply_contract`` plans. Nothing has run yet.
 
     ``frame``: the table to write (gated when ``gate_failures``; rule counts collected in flight by ``observation``).
+    ``skipped``: names of rules on columns that are not there.
     ``checked``: the renamed and cast rows before the gate, for ``summary()`` and ``annotated()``.
     """
 
@@ -28,6 +29,7 @@ class ContractResult:
     rules: list[Rule]
     observation: Observation | None
     key: list[str]
+    skipped: list[str]
 
     def summary(self) -> DataFrame:
         return summarize(self.checked, self.rules)
@@ -45,7 +47,7 @@ def apply_contract(df: DataFrame, obj, exclude=SCD2_COLUMNS, mode: str = "strict
     column pruning into the source; no shuffle is added.
     """
     obj = object_spec(obj)
-    staged = load(df, obj, exclude, read_as=read_as)
+    staged = load(df, obj, exclude, read_as=read_as, mode=mode)
     staged = convert(staged, obj, exclude, mode=mode)
     checked = rename_cast(staged, obj, exclude, mode=mode)
     rule_list = rules(obj, checked.columns)
@@ -55,7 +57,8 @@ def apply_contract(df: DataFrame, obj, exclude=SCD2_COLUMNS, mode: str = "strict
     if gate_failures:
         out = gate(out, rule_list, message=f"contract {obj.name}: rule failed")
     out = write_frame(out, obj, exclude, enforce_not_null=enforce_not_null)
-    return ContractResult(obj.name, out, checked, rule_list, obs, primary_key(obj))
+    return ContractResult(obj.name, out, checked, rule_list, obs, primary_key(obj),
+                          skipped_rules(obj, checked.columns))
 
 
 def apply_contracts(frames: dict[str, DataFrame], contract, exclude=SCD2_COLUMNS, **kw) -> dict[str, ContractResult]:
@@ -72,10 +75,16 @@ def apply_contracts(frames: dict[str, DataFrame], contract, exclude=SCD2_COLUMNS
 
 
 def run_contracts(frames: dict[str, DataFrame], contract, target_dir: str, exclude=SCD2_COLUMNS, fmt="parquet",
-                  **kw) -> dict[str, ContractResult]:
-    """W7 + W6: plan everything first, then write each object to ``target_dir/<object>`` (overwrite)."""
-    results = apply_contracts(frames, contract, exclude, **kw)
+                  enforce_not_null: bool = True, **kw) -> dict[str, ContractResult]:
+    """W7 + W6: write each object to ``target_dir/<object>``, all or none.
+
+    Everything is planned first; then every object is written to a staging folder beside its target (gates and NOT NULL
+    checks run there); only when all jobs have succeeded do the new outputs take the old ones' places. A failed run
+    leaves every old output as it was.
+    """
+    results = apply_contracts(frames, contract, exclude, enforce_not_null=enforce_not_null, **kw)
     contract = contract if isinstance(contract, ContractSpec) else ContractSpec.from_dict(contract)
-    for o in contract.objects:
-        save(results[o.name].frame, o, path=f"{target_dir.rstrip('/')}/{o.name}", fmt=fmt)
+    spark = next(iter(frames.values())).sparkSession if frames else None
+    targets = [(f"{target_dir.rstrip('/')}/{o.name}", results[o.name].frame) for o in contract.objects]
+    write_all(spark, [(path, lambda to, f=frame: f.write.format(fmt).save(to)) for path, frame in targets])
     return results

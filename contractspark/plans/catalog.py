@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 
 from .. import types as ty
 from ..functions import ddl
-from ..spec import REQUIRED_CONTRACT_FIELDS, SCD2_COLUMNS
+from ..functions.names import OUTPUT_NAME_CHARS, number_text, quote_col, rule_word_col, string_text_col
+from ..functions.ruletable import FIELD_TEMPLATE, OPTION_RULES, REQUIRED_SUFFIX, REQUIRED_TEMPLATE
+from ..spec import REQUIRED_CONTRACT_FIELDS, SCD2_COLUMNS, ContractError
 
 CATALOG_DDL = (
     "contract string, object string, path string, parent_path string, ordinal int, depth int, is_items boolean, "
@@ -43,93 +45,139 @@ DECODED_DDL = ("n_docs int, is_mapping boolean, missing array<string>, error str
 
 
 def scan_contracts(spark: SparkSession, directory: str) -> DataFrame:
-    """``(path, prefix, text)``: every ``*.yaml`` / ``*.yml`` under ``directory`` (recursive), sorted by path.
+    """``(path, prefix, text)``: every ``*.yaml`` / ``*.yml`` under ``directory`` (recursive).
 
-    ``prefix`` is the path relative to ``directory`` without the last extension (``marketing/campaign``). A directory
-    that does not exist gives an empty frame.
+    ``prefix`` is the path relative to ``directory`` without the last extension (``marketing/campaign``). Files whose names
+    start with ``_`` or ``.`` count too (Spark's text reader would leave them out). A directory that does not exist gives an
+    empty frame.
     """
-    empty = spark.createDataFrame([], "path string, prefix string, text string")
-    try:
-        df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{yaml,yml}")
-              .text(directory, wholetext=True))
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return empty
-        raise
-    base = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", directory.rstrip("/"))  # compare without the scheme
-    path = F.col("_metadata.file_path")
-    rel = F.regexp_extract(path, re.escape(base) + r"/(.*)$", 1)
-    return (df.select(path.alias("path"), F.regexp_replace(rel, r"\.[^./]*$", "").alias("prefix"),
-                      F.col("value").alias("text"))
-            .orderBy("path"))
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return spark.createDataFrame([], "path string, prefix string, text string")
+    base = fs.makeQualified(root).toUri().getPath().rstrip("/")  # decoded, absolute, without the scheme
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{yaml,yml}").load(directory)
+    shown = files.select("path", F.decode("content", "UTF-8").alias("text"))
+    hidden = _hidden_files(spark, fs, root)
+    if hidden:
+        shown = shown.unionByName(spark.createDataFrame(hidden, "path string, text string"))
+    plain = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    rel = F.substring(plain, len(base) + 2, 1 << 30)
+    return shown.select("path", F.regexp_replace(rel, r"\.[^./]*$", "").alias("prefix"), "text")
+
+
+def _hidden_files(spark: SparkSession, fs, root) -> list[tuple[str, str]]:
+    """(path, text) of contract files that Spark's readers skip because their name or folder starts with ``_`` or ``.``.
+
+    No reader takes them even by name, so these few are read one by one with the file system's own calls.
+    """
+    found, walk, base = [], fs.listFiles(root, True), len(fs.makeQualified(root).toString().rstrip("/"))
+    while walk.hasNext():
+        path = walk.next().getPath()
+        rel = path.toString()[base:]
+        if rel.endswith((".yaml", ".yml")) and re.search(r"/[_.]", rel):
+            stream = fs.open(path)
+            try:
+                found.append((path.toString(), spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+    return found
 
 
 # ---- L5: decode each file (per-row helper) and explode to one row per property ----------------------------------
 
 
-def _flat_props(obj_name, props, parent, depth, out):
-    for i, p in enumerate(props or []):
-        if not isinstance(p, dict):
-            continue
-        _flat_one(obj_name, p, parent, i, depth, False, out)
+def _path_step(name: str) -> str:
+    """A name as one step of a path: marks that paths use are escaped, so different fields never share a path."""
+    return re.sub(r"([.\[\\])", r"\\\1", name)
+
+
+def _mapping(value, what: str) -> dict:
+    if value is None:
+        return {}
+    if not isinstance(value, dict):
+        raise ContractError("ODCS-CFG-062", f"{what} must be a mapping, got {type(value).__name__}")
+    return value
+
+
+def _listing(value, what: str) -> list:
+    if value is None:
+        return []
+    if not isinstance(value, list):
+        raise ContractError("ODCS-CFG-062", f"{what} must be a list, got {type(value).__name__}")
+    return value
+
 
+def _text(value) -> str | None:
+    return None if value is None else str(value)
 
-def _flat_one(obj_name, p, parent, ordinal, depth, is_items, out):
+
+def _flat(obj_name: str, props, parent: str | None, depth: int):
+    """Rows for the properties of an object or field, nested ones after their parent."""
+    for i, p in enumerate(_listing(props, f"properties of {parent or obj_name!r}")):
+        yield from _flat_one(obj_name, _mapping(p, f"a property of {parent or obj_name!r}"), parent, i, depth, False)
+
+
+def _flat_one(obj_name: str, p: dict, parent: str | None, ordinal: int, depth: int, is_items: bool):
     name = "items" if is_items else str(p.get("name", ""))
-    path = (parent + ("[]" if is_items else "." + name)) if parent is not None else name
-    opts = p.get("logicalTypeOptions") or {}
-    opts = opts if isinstance(opts, dict) else {}
+    path = (parent or "") + ("[]" if is_items else ("." if parent is not None else "") + _path_step(name))
+    opts = _mapping(p.get("logicalTypeOptions"), f"logicalTypeOptions of {path!r}")
+    position = p.get("primaryKeyPosition") or 0
+    if not isinstance(position, (int, float)):
+        raise ContractError("ODCS-CFG-062", f"primaryKeyPosition of {path!r} must be a number, got {position!r}")
     fmt = opts.get("format")
-    out.append({
+    # numbers go as the text that rules show, so the estate's rule texts are those of one spec
+    shown = {k: number_text(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else v for k, v in opts.items()}
+    yield {
         "object": obj_name, "path": path, "parent_path": parent, "ordinal": ordinal, "depth": depth,
         "is_items": is_items, "name": None if is_items else name,
-        "physical_name": p.get("physicalName"), "logical_type": p.get("logicalType"),
-        "physical_type": None if p.get("physicalType") is None else str(p.get("physicalType")),
+        "physical_name": _text(p.get("physicalName")), "logical_type": _text(p.get("logicalType")),
+        "physical_type": _text(p.get("physicalType")),
         "fmt": fmt if isinstance(fmt, str) else None, "fmt_truthy": bool(fmt), "tz_false": opts.get("timezone") is False,
-        "default_tz": None if not opts.get("defaultTimezone") else str(opts.get("defaultTimezone")),
-        "options": json.dumps(opts, default=str), "required": bool(p.get("required", False)),
-        "primary_key": p.get("primaryKey") is True, "pk_position": int(p.get("primaryKeyPosition", 0) or 0),
-        "critical": bool(p.get("criticalDataElement")), "description": p.get("description"),
-        "has_description": "description" in p, "tags": [str(t) for t in (p.get("tags") or [])],
+        "default_tz": _text(opts.get("defaultTimezone") or None),
+        "options": json.dumps(shown, default=str), "required": bool(p.get("required", False)),
+        "primary_key": p.get("primaryKey") is True, "pk_position": int(position),
+        "critical": bool(p.get("criticalDataElement")), "description": _text(p.get("description")),
+        "has_description": "description" in p, "tags": [str(t) for t in _listing(p.get("tags"), f"tags of {path!r}")],
         "has_properties": bool(p.get("properties")), "has_items": bool(p.get("items")),
-    })
-    _flat_props(obj_name, p.get("properties"), path, depth + 1, out)
-    if isinstance(p.get("items"), dict):
-        _flat_one(obj_name, p["items"], path, 0, depth + 1, True, out)
+    }
+    yield from _flat(obj_name, p.get("properties"), path, depth + 1)
+    if p.get("items"):
+        yield from _flat_one(obj_name, _mapping(p["items"], f"items of {path!r}"), path, 0, depth + 1, True)
 
 
 def decode_text(text: str) -> str:
-    """One contract file → JSON of its top-level fields, its objects and its flattened properties."""
+    """One contract file → JSON of its top-level fields, its objects and its flattened properties.
+
+    Whatever is wrong with a file goes into its own ``error``, so one bad contract never ends the job of an estate.
+    """
     import yaml
 
     res = {"n_docs": 0, "is_mapping": False, "missing": [], "error": None, "id": None, "version": None, "tags": [],
            "objects": [], "columns": "[]"}
     try:
         docs = [d for d in yaml.safe_load_all(text) if d is not None]
-    except Exception as e:  # noqa: BLE001
+        res["n_docs"] = len(docs)
+        if len(docs) == 1 and isinstance(docs[0], dict):
+            doc = docs[0]
+            res |= {"is_mapping": True, "missing": [k for k in REQUIRED_CONTRACT_FIELDS if k not in doc],
+                    "id": _text(doc.get("id")), "version": _text(doc.get("version"))}
+            tags = [str(t) for t in _listing(doc.get("tags"), "tags")]
+            objects, cols = [], []
+            for i, o in enumerate(_listing(doc.get("schema"), "schema")):
+                o = _mapping(o, "an object of schema")
+                name = str(o.get("name", ""))
+                objects.append({"object": name, "ordinal": i, "description": _text(o.get("description")), "has_description": "description" in o,
+                                "tags": [str(t) for t in _listing(o.get("tags"), f"tags of {name!r}")]})
+                cols += _flat(name, o.get("properties"), None, 0)
+            res |= {"tags": tags, "objects": objects, "columns": json.dumps(cols, default=str)}
+    except yaml.YAMLError as e:
         res["error"] = f"yaml: {str(e).splitlines()[0]}"
-        return json.dumps(res)
-    res["n_docs"] = len(docs)
-    if len(docs) != 1:
-        return json.dumps(res)
-    doc = docs[0]
-    res["is_mapping"] = isinstance(doc, dict)
-    if not isinstance(doc, dict):
-        return json.dumps(res)
-    res["missing"] = [k for k in REQUIRED_CONTRACT_FIELDS if k not in doc]
-    res["id"] = None if doc.get("id") is None else str(doc.get("id"))
-    res["version"] = None if doc.get("version") is None else str(doc.get("version"))
-    res["tags"] = [str(t) for t in (doc.get("tags") or [])]
-    cols = []
-    for i, o in enumerate(doc.get("schema") or []):
-        if not isinstance(o, dict):
-            continue
-        name = str(o.get("name", ""))
-        res["objects"].append({"object": name, "ordinal": i, "description": o.get("description"),
-                               "has_description": "description" in o,
-                               "tags": [str(t) for t in (o.get("tags") or [])]})
-        _flat_props(name, o.get("properties"), None, 0, cols)
-    res["columns"] = json.dumps(cols, default=str)
+    except ContractError as e:
+        res["error"] = f"{e}"
+    except Exception as e:  # noqa: BLE001  a file's fault of any other kind is that file's row
+        res["error"] = f"{type(e).__name__}: {e}"
     return json.dumps(res, default=str)
 
 
@@ -168,22 +216,16 @@ def _struct_fields(ddl_text: str, skip=()) -> str:
 # ---- R1: classify physical type text ------------------------------------------------------------------------
 
 
-def classify_types(df: DataFrame, column: str = "physical_type", prefix: str = "phys",
-                   depth: int = ddl.DEFAULT_FOLD_DEPTH) -> DataFrame:
-    """Add ``{prefix}_valid``, ``{prefix}_family`` and ``{prefix}_too_deep`` for a column of Spark type texts.
+def classify_types(df: DataFrame, column: str = "physical_type", prefix: str = "phys") -> DataFrame:
+    """Add ``{prefix}_valid`` and ``{prefix}_family`` for a column of Spark type texts of any nesting depth.
 
-    No UDF: normalise, replace leaf types by ``@``, fold ``ARRAY<@>``/``MAP<@,@>``/``STRUCT<n:@,..>`` ``depth``
-    times. Texts nested deeper than ``depth`` are flagged ``too_deep`` (never silently invalid).
+    No UDF: normalise, replace leaf types by ``@``, fold ``ARRAY<@>``/``MAP<@,@>``/``STRUCT<n:@,..>`` once for each ``<``
+    of the text.
     """
     norm = ddl.normalize_col(F.col(column))
-    folded, still = ddl.fold_col(norm, depth)
-    valid = F.col(column).isNotNull() & (folded == "@")
-    return df.select(
-        "*",
-        valid.alias(f"{prefix}_valid"),
-        F.when(valid, ddl.head_family_col(norm, ddl.families_map_col())).alias(f"{prefix}_family"),
-        (F.col(column).isNotNull() & (folded != "@") & still).alias(f"{prefix}_too_deep"),
-    )
+    valid = F.col(column).isNotNull() & (ddl.fold_col(norm) == "@")
+    return df.select("*", valid.alias(f"{prefix}_valid"),
+                     F.when(valid, ddl.head_family_col(norm, ddl.families_map_col())).alias(f"{prefix}_family"))
 
 
 # ---- R2, R3, R5: widths, precedence, conversion kind --------------------------------------------------------
@@ -199,74 +241,73 @@ def _compat_map() -> Column:
 
 
 def _scalar_resolution(df: DataFrame) -> DataFrame:
-    """Type text of every row that is not a shape row (object with properties / array with items) + error rows."""
+    """``flat_text``: the type of a row without a shape, by the candidates of ``types.scalar_candidates`` in their order."""
     lt, pt = F.col("logical_type"), F.col("physical_type")
-    missing = pt.isNull() | (pt == "") | lt.isNull() | (lt == "")
-    width = (F.when(lt == "integer", F.coalesce(F.element_at(_lit_map(ty.INTEGER_WIDTHS), F.col("fmt")),
-                                                F.lit("BIGINT")))
-             .when(lt == "number", F.coalesce(F.element_at(_lit_map(ty.NUMBER_WIDTHS), F.col("fmt")),
-                                              F.lit("DOUBLE"))))
-    compatible = F.coalesce(F.array_contains(F.element_at(_compat_map(), lt), F.col("phys_family")), F.lit(False))
-    logical_default = (F.when(lt.isin(*ty.SIMPLE_LOGICAL), F.element_at(_lit_map(ty.SIMPLE_LOGICAL), lt))
-                       .when(lt.isin("integer", "number"), width)
-                       .when(lt == "object", F.lit("VARIANT")))
+    absent = [(F.coalesce(c, F.lit("")) == "", n) for c, n in ((pt, "physicalType"), (lt, "logicalType"))]
+    missing = absent[0][0] | absent[1][0]
+    sized = lt.isin(*ty.WIDTHS)
+    width = F.coalesce(*(F.when(lt == name, F.coalesce(F.element_at(_lit_map(widths), F.col("fmt")), F.lit(usual)))
+                         for name, (widths, usual) in ty.WIDTHS.items()))
+    compatible = F.col("phys_valid") & F.array_contains(F.element_at(_compat_map(), lt), F.col("phys_family"))
+    flat = F.coalesce(F.when(sized & F.col("fmt_truthy"), width), F.when(compatible, pt), F.when(sized, width),
+                      F.element_at(_lit_map(ty.LOGICAL_DEFAULTS), lt))
     shape = ((lt == "object") & F.col("has_properties")) | ((lt == "array") & F.col("has_items"))
-    flat = (F.when(missing, F.lit(None))
-            .when(lt.isin("integer", "number") & F.col("fmt_truthy"), width)
-            .when(F.col("phys_valid") & compatible, pt)
-            .otherwise(logical_default))
-    text = F.when(shape, F.lit(None)).otherwise(flat)
-    error = (F.when(missing, F.concat(F.lit("missing "), F.concat_ws(" and ", F.array(
-                F.when(pt.isNull() | (pt == ""), F.lit("physicalType")),
-                F.when(lt.isNull() | (lt == ""), F.lit("logicalType"))))))
-             .when(shape, F.lit(None))
-             .when(text.isNull() & (lt == "array"), F.lit("array without items and no usable physical type"))
-             .when(text.isNull(), F.concat(F.lit("logical type cannot be mapped: "), lt))
-             .when(F.col("phys_too_deep"), F.lit("physical type nested deeper than the fold depth")))
-    return (df.withColumn("type_text", text).withColumn("shape", shape).withColumn("error", error)
-            .withColumn("missing_types", missing).withColumn("flat_text", flat).withColumn("n_children", F.lit(0)))
-
-
-def resolve_types(catalog: DataFrame, max_depth: int | None = None) -> DataFrame:
+    named = F.concat_ws(" and ", *(F.when(c, F.lit(n)) for c, n in absent))
+    return df.withColumns({
+        "missing_types": missing, "shape": F.coalesce(shape & ~missing, F.lit(False)), "flat_text": F.when(~missing, flat),
+        "missing_reason": F.when(missing, F.concat(F.lit("missing "), named))})
+
+
+#: What the assembly passes from a nested row to its parent, and what it finds for every row.
+_OPEN = "array<struct<parent:string,ordinal:int,name:string,is_items:boolean,text:string>>"
+_DONE = "array<struct<text:string,n:int,bad:boolean>>"
+
+
+def _assembled(nodes: Column) -> Column:
+    """For each row of one column's tree (``nodes``, deepest first): its type text, its number of children, if one is bad.
+
+    One pass: a row takes the texts of its children, which have all gone before it, and leaves its own for its parent.
+    """
+    def step(state: Column, x: Column) -> Column:
+        kids = F.filter(state["open"], lambda k: k["parent"] == x["path"])
+        fields = F.transform(F.array_sort(F.transform(F.filter(kids, lambda k: ~k["is_items"]), lambda k: F.struct(k["ordinal"], k["name"], k["text"]))),
+                             lambda k: F.concat(k["name"], F.lit(":"), k["text"]))
+        item = F.array_max(F.transform(F.filter(kids, lambda k: k["is_items"]), lambda k: k["text"]))
+        n, bad = F.size(kids), F.exists(kids, lambda k: k["text"].isNull())
+        text = (F.when(~x["shape"] | (n == 0), x["flat_text"])  # a declared shape without any child is none
+                .when(bad, F.lit(None))
+                .when(x["logical_type"] == "object", F.concat(F.lit("STRUCT<"), F.array_join(fields, ","), F.lit(">")))
+                .otherwise(F.concat(F.lit("ARRAY<"), item, F.lit(">"))))
+        own = F.array(F.struct(x["parent_path"].alias("parent"), x["ordinal"].alias("ordinal"), x["name"].alias("name"),
+                               x["is_items"].alias("is_items"), text.alias("text")))
+        return F.struct(F.concat(F.filter(state["open"], lambda k: ~k["parent"].eqNullSafe(x["path"])), own).cast(_OPEN).alias("open"),
+                        F.concat(state["done"], F.array(F.struct(text.alias("text"), n.alias("n"), (bad & x["shape"]).alias("bad")))).cast(_DONE).alias("done"))
+
+    start = F.struct(F.array().cast(_OPEN).alias("open"), F.array().cast(_DONE).alias("done"))
+    return F.aggregate(nodes, start, step, lambda state: state["done"])
+
+
+def resolve_types(catalog: DataFrame) -> DataFrame:
     """Every catalog row gets ``type_text`` (resolved type), top-level rows get ``conversion``,
     ``final_type`` (transform / write type) and ``load_type``; ``error`` names what could not be resolved.
 
-    Nested shapes are assembled bottom-up (R4), one ``groupBy(parent)`` + join per nesting level; ``max_depth`` is
-    the deepest ``depth`` in the catalog (computed with one small aggregate when not given).
+    Nested shapes (R4) are assembled per top-level column: its rows, at any depth, meet in one group (which one contract's
+    column bounds) and are folded from the deepest up. One scan and one shuffle, whatever the depth.
     """
-    df = _scalar_resolution(classify_types(catalog))
-    if max_depth is None:
-        max_depth = catalog.agg(F.max("depth")).first()[0] or 0
-    keys = ["contract", "object"]
-    for d in range(max_depth - 1, -1, -1):
-        kids = df.filter(F.col("depth") == d + 1)
-        fields = F.array_sort(F.collect_list(F.struct("ordinal", "name", "type_text", "is_items")))
-        props = F.filter(fields, lambda x: ~x["is_items"])
-        agg = kids.groupBy(*keys, F.col("parent_path").alias("path")).agg(
-            F.concat(F.lit("STRUCT<"), F.array_join(F.transform(props, lambda x: F.concat(x["name"], F.lit(":"),
-                                                                                          x["type_text"])), ","),
-                     F.lit(">")).alias("__struct"),
-            F.max(F.when(F.col("is_items"), F.col("type_text"))).alias("__item"),
-            F.max(F.col("type_text").isNull().cast("int")).alias("__bad"),
-            F.count(F.lit(1)).alias("__n"),
-        )
-        df = df.join(agg, [*keys, "path"], "left")
-        at = (F.col("depth") == d) & F.col("shape") & ~F.col("missing_types")
-        # a declared shape without any child row is an empty one: resolve it like a column without properties/items
-        empty = at & F.col("__n").isNull()
-        df = (df.withColumn("type_text", F.when(empty, F.col("flat_text"))
-                            .when(at & (F.col("__bad") == 1), F.lit(None))
-                            .when(at & (F.col("logical_type") == "object"), F.col("__struct"))
-                            .when(at, F.concat(F.lit("ARRAY<"), F.col("__item"), F.lit(">")))
-                            .otherwise(F.col("type_text")))
-              .withColumn("error", F.when(empty & F.col("flat_text").isNull(),
-                                          F.lit("array without items and no usable physical type"))
-                          .when(at & (F.col("__bad") == 1), F.lit("a nested field cannot be resolved"))
-                          .otherwise(F.col("error")))
-              .withColumn("n_children", F.when(F.col("depth") == d, F.coalesce(F.col("__n"), F.lit(0)))
-                          .otherwise(F.col("n_children")))
-              .drop("__struct", "__item", "__bad", "__n"))
-    return _conversions(df).drop("flat_text")
+    flat = _scalar_resolution(classify_types(catalog))
+    top = F.regexp_extract("path", r"^((?:\\.|[^.\[\\])*)", 1)
+    nodes = flat.select("contract", "object", top.alias("__top"), F.struct((-F.col("depth")).alias("up"), "path", "ordinal", F.struct(*flat.columns).alias("row")).alias("n"))
+    trees = nodes.groupBy("contract", "object", "__top").agg(
+        F.sort_array(F.collect_list(F.struct("n.up", "n.path", "n.ordinal", F.xxhash64(F.to_json("n.row")).alias("tie"), "n.row"))).alias("rows"))
+    rows = F.transform("rows", lambda x: x["row"])
+    each = trees.select(F.explode(F.arrays_zip(rows.alias("row"), _assembled(rows).alias("made"))).alias("x"))
+    lt = F.col("logical_type")
+    reason = (F.when(F.col("made.bad") & (F.col("made.n") > 0), F.lit("a nested field cannot be resolved"))
+              .when(F.col("made.text").isNull() & (lt == "array"), F.lit("array without items and no usable physical type"))
+              .when(F.col("made.text").isNull(), F.concat(F.lit("logical type cannot be mapped: "), lt)))
+    df = each.select("x.row.*", F.col("x.made").alias("made")).withColumns({
+        "type_text": F.col("made.text"), "error": F.coalesce("missing_reason", reason), "n_children": F.col("made.n")})
+    return _conversions(df.drop("made", "missing_reason", "flat_text"))
 
 
 def _conversions(df: DataFrame) -> DataFrame:
@@ -310,8 +351,10 @@ def _err(code: str, reason: Column) -> Column:
 
 def contract_errors(decoded: DataFrame) -> DataFrame:
     """K3: ``(path, code, reason)`` for files that are not exactly one mapping with the required top-level fields."""
+    coded = F.regexp_extract("error", r"^\[([A-Z0-9-]+)\]", 1)
     checks = F.array(
-        F.when(F.col("error").isNotNull(), _err("ODCS-IO-002", F.col("error"))),
+        F.when(F.col("error").isNotNull(), F.struct(F.when(coded != "", coded).otherwise(F.lit("ODCS-IO-002")).alias("code"),
+                                                    F.regexp_replace("error", r"^\[[A-Z0-9-]+\] ", "").alias("reason"))),
         F.when(F.col("error").isNull() & (F.col("n_docs") != 1),
                _err("ODCS-IO-003", F.concat(F.lit("expected one document, found "), F.col("n_docs").cast("string")))),
         F.when((F.col("n_docs") == 1) & ~F.col("is_mapping"), _err("ODCS-IO-004", F.lit("the document is not a mapping"))),
@@ -353,31 +396,21 @@ def primary_keys(catalog: DataFrame) -> DataFrame:
 # ---- R8: rule list -----------------------------------------------------------------------------------------
 
 
-def _quote(c: Column) -> Column:
-    return F.concat(F.lit("`"), F.replace(c, F.lit("`"), F.lit("``")), F.lit("`"))
-
-
-def _sanitize(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^A-Za-z0-9_]", "_")
-
-
 def _opt(key: str) -> Column:
+    """A top-level option as text, null if absent."""
     return F.get_json_object(F.col("options"), f"$.{key}")
 
 
-def _has(key: str) -> Column:
-    return F.col("options").rlike(r'"' + key + r'"\s*:')
-
-
 def _num(c: Column) -> Column:
-    """Booleans as 0/1, integral numbers without a trailing ``.0``."""
+    """Truth values as 0/1, whole numbers without a trailing ``.0``."""
     return (F.when(c == "true", F.lit("1")).when(c == "false", F.lit("0"))
             .when(c.rlike(r"^-?[0-9]+\.0+$"), F.regexp_replace(c, r"\.0+$", "")).otherwise(c))
 
 
-def _str(c: Column) -> Column:
-    return F.concat(F.lit("'"), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''")),
-                    F.lit("'"))
+def _filled(template: str, **values: Column) -> Column:
+    """A rule text from its template over columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if p))
 
 
 def expectation_catalog(catalog: DataFrame) -> DataFrame:
@@ -387,63 +420,26 @@ def expectation_catalog(catalog: DataFrame) -> DataFrame:
     made unique per object (``_2``, ``_3``... in declaration order) with a window over the base name.
     """
     top = catalog.filter(F.col("depth") == 0)
-    q, s, lt = _quote(F.col("name")), _sanitize(F.col("name")), F.col("logical_type")
-
-    def rule(i, cond, suffix, expr):
-        return F.when(cond, F.struct(F.lit(i).alias("rule_ordinal"), F.concat(s, F.lit(suffix)).alias("base"),
-                                     expr.alias("expression")))
-
-    def cmp(key, op):
-        return F.concat(q, F.lit(f" {op} "), _num(_opt(key)))
-
-    def guarded(inner):
-        return F.concat(q, F.lit(" IS NULL OR ("), inner, F.lit(")"))
-
-    is_num, is_tmp = lt.isin("integer", "number"), lt.isin("date", "timestamp", "time")
-    candidates = [
-        rule(0, F.col("required"), "_not_null", F.concat(q, F.lit(" IS NOT NULL"))),
-        rule(1, (lt == "string") & _has("minLength"), "_min_length",
-             F.concat(F.lit("length("), q, F.lit(") >= "), _num(_opt("minLength")))),
-        rule(2, (lt == "string") & _has("maxLength"), "_max_length",
-             F.concat(F.lit("length("), q, F.lit(") <= "), _num(_opt("maxLength")))),
-        rule(3, (lt == "string") & _has("pattern"), "_pattern", F.concat(q, F.lit(" RLIKE "), _str(_opt("pattern")))),
-    ]
-    for i, (key, suffix, op) in enumerate((("minimum", "_min", ">="), ("maximum", "_max", "<="),
-                                           ("exclusiveMinimum", "_exclusive_min", ">"),
-                                           ("exclusiveMaximum", "_exclusive_max", "<"))):
-        candidates.append(rule(4 + i, is_num & _has(key), suffix, cmp(key, op)))
-    candidates.append(rule(8, is_num & _has("multipleOf"), "_multiple_of",
-                           F.concat(q, F.lit(" % "), _num(_opt("multipleOf")), F.lit(" = 0"))))
-    for i, (key, suffix, op) in enumerate((("minimum", "_min", ">="), ("maximum", "_max", "<="),
-                                           ("exclusiveMinimum", "_exclusive_min", ">"),
-                                           ("exclusiveMaximum", "_exclusive_max", "<"))):
-        candidates.append(rule(9 + i, is_tmp & _has(key), suffix,
-                               F.concat(q, F.lit(f" {op} "), _str(_opt(key)))))
-    candidates += [
-        rule(13, (lt == "array") & _has("minItems"), "_min_items",
-             guarded(F.concat(F.lit("size("), q, F.lit(") >= "), _num(_opt("minItems"))))),
-        rule(14, (lt == "array") & _has("maxItems"), "_max_items",
-             guarded(F.concat(F.lit("size("), q, F.lit(") <= "), _num(_opt("maxItems"))))),
-        rule(15, (lt == "array") & F.col("options").rlike(r'"uniqueItems"\s*:\s*true'), "_unique_items",
-             guarded(F.concat(F.lit("size("), q, F.lit(") = size(array_distinct("), q, F.lit("))")))),
-    ]
-    fixed = top.select("contract", "object", F.col("name").alias("column_name"), F.col("ordinal").alias("column_ordinal"),
-                       F.when(F.col("critical"), F.lit("fail")).otherwise(F.lit("warn")).alias("action"),
-                       F.explode(F.filter(F.array(*candidates), lambda x: x.isNotNull())).alias("r"))
-    fixed = fixed.select("contract", "object", "column_name", "column_ordinal", "action", "r.*")
+    q, s, lt = quote_col(F.col("name")), rule_word_col(F.col("name")), F.col("logical_type")
+
+    def rule(i: int, cond: Column, suffix: str, expr: Column) -> Column:
+        return F.when(cond, F.struct(F.lit(i).alias("rule_ordinal"), F.concat(s, F.lit(f"_{suffix}")).alias("base"), expr.alias("expression")))
+
+    made = [rule(0, F.col("required"), REQUIRED_SUFFIX, _filled(REQUIRED_TEMPLATE, q=q))]
+    for i, r in enumerate(OPTION_RULES, 1):
+        v = _opt(r.option)
+        holds = (v == "true") if r.literal == "none" else v.isNotNull()
+        text = _filled(r.template, q=q, v=string_text_col(v) if r.literal == "string" else _num(v))
+        made.append(rule(i, lt.isin(*r.types) & holds, r.suffix, text))
+    action = F.when(F.col("critical"), F.lit("fail")).otherwise(F.lit("warn")).alias("action")
+    head = ["contract", "object", F.col("name").alias("column_name"), F.col("ordinal").alias("column_ordinal"), action]
     # One rule per required field of an object column
-    req = F.from_json(_opt("required"), "array<string>")
-    fields = top.filter((lt == "object") & _has("required")).select(
-        "contract", "object", F.col("name").alias("column_name"), F.col("ordinal").alias("column_ordinal"),
-        F.when(F.col("critical"), F.lit("fail")).otherwise(F.lit("warn")).alias("action"), q.alias("q"), s.alias("s"),
-        F.posexplode(req).alias("fpos", "field"))
-    fields = fields.select(
-        "contract", "object", "column_name", "column_ordinal", "action",
-        (F.lit(16) + F.col("fpos")).alias("rule_ordinal"),
-        F.concat("s", F.lit("_"), _sanitize(F.col("field")), F.lit("_not_null")).alias("base"),
-        F.concat(F.col("q"), F.lit(" IS NULL OR ("), F.col("q"), F.lit("."), _quote(F.col("field")),
-                 F.lit(" IS NOT NULL)")).alias("expression"))
-    allr = fixed.unionByName(fields)
+    required = F.when(lt == "object", F.from_json(_opt("required"), "array<string>"))
+    fields = F.transform(F.coalesce(required, F.array().cast("array<string>")), lambda f, k: F.struct(
+        (F.lit(len(made)) + k).alias("rule_ordinal"), F.concat(s, F.lit("_"), rule_word_col(f), F.lit(f"_{REQUIRED_SUFFIX}")).alias("base"),
+        _filled(FIELD_TEMPLATE, q=q, v=quote_col(f)).alias("expression")))
+    own = F.filter(F.array(*made), lambda x: x.isNotNull())
+    allr = top.select(*head, F.explode(F.concat(own, fields)).alias("r")).select("contract", "object", "column_name", "column_ordinal", "action", "r.*")
     n = _rank_in_group(allr, ["contract", "object", "base"], "column_ordinal", "rule_ordinal")
     return n.select("contract", "object", "column_name", "column_ordinal", "rule_ordinal",
                     F.when(F.col("__n") == 1, F.col("base"))
@@ -459,8 +455,8 @@ def _rank_in_group(df: DataFrame, group, ordinal: str, sub: str, bucket_size: in
     that group's buckets (one row per bucket), and the position inside a bucket is a ``row_number`` over at most
     ``bucket_size`` ordinals.
     """
-    b = F.floor(F.col(ordinal) / F.lit(bucket_size)).alias("__bucket")
-    with_b = df.withColumn("__bucket", b)
+    # dealt by (group, bucket) once: the counts and the ranks below use the same exchange
+    with_b = df.withColumn("__bucket", F.floor(F.col(ordinal) / F.lit(bucket_size))).repartition(*group, "__bucket")
     counts = with_b.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
@@ -473,12 +469,18 @@ def _rank_in_group(df: DataFrame, group, ordinal: str, sub: str, bucket_size: in
 # ---- K1 / K2: duplicate and colliding object names ---------------------------------------------------------
 
 
-def name_collisions(objects: DataFrame, contract_col: str = "contract", object_col: str = "object") -> DataFrame:
+def name_collisions(objects: DataFrame, contract_col: str = "contract", object_col: str = "object", across: bool = False) -> DataFrame:
     """K1 + K2: object names that appear twice in a contract (``duplicate``) or that differ but become the same
-    output name after mapping ``[^A-Za-z0-9_.-]`` to ``_`` (``collision``). One ``groupBy`` on (contract, slug)."""
-    slug = F.regexp_replace(F.col(object_col), r"[^A-Za-z0-9_.-]", "_")
-    g = objects.groupBy(F.col(contract_col).alias("contract"), slug.alias("slug")).agg(
-        F.count(F.lit(1)).alias("n_objects"), F.countDistinct(object_col).alias("n_names"))
+    output name after mapping ``[^A-Za-z0-9_.-]`` to ``_`` (``collision``). One ``groupBy`` on (contract, slug).
+
+    With ``across`` contract names are mapped too, so two contracts whose outputs would land in one place are reported
+    (``contract`` is then the mapped name)."""
+    def shown(name: str) -> Column:
+        return F.regexp_replace(F.col(name), f"[^{OUTPUT_NAME_CHARS}]", "_")
+
+    contract = F.regexp_replace(F.col(contract_col), f"[^{OUTPUT_NAME_CHARS}/]", "_") if across else F.col(contract_col)
+    g = objects.groupBy(contract.alias("contract"), shown(object_col).alias("slug")).agg(
+        F.count(F.lit(1)).alias("n_objects"), F.countDistinct(F.struct(F.col(contract_col), F.col(object_col))).alias("n_names"))
     return (g.filter(F.col("n_objects") > 1)
             .withColumn("kind", F.when(F.col("n_names") > 1, F.lit("collision")).otherwise(F.lit("duplicate"))))
 

@@ -195,7 +195,7 @@ _LOAD = "CASE WHEN m.conv IS NOT NULL THEN 'STRING' ELSE m.final_type END"
        f"SELECT p_partkey, m.name AS column_name, m.final_type, {_LOAD} AS load_type FROM part "
        f"JOIN (VALUES {_EXPECTED_VALUES}) m(idx, name, final_type, conv) ON p_partkey % {len(TYPE_MATRIX)} = m.idx")
 def catalog_types(spark, d):
-    res = cat.resolve_types(part_catalog(spark, d, TYPE_MATRIX), max_depth=1)
+    res = cat.resolve_types(part_catalog(spark, d, TYPE_MATRIX))
     return res.filter(F.col("depth") == 0).select("p_partkey", F.col("name").alias("column_name"), "final_type",
                                                   "load_type")
 
@@ -204,7 +204,7 @@ def catalog_types(spark, d):
        f"SELECT p_partkey, m.name AS column_name, m.conv AS conversion FROM part "
        f"JOIN (VALUES {_EXPECTED_VALUES}) m(idx, name, final_type, conv) ON p_partkey % {len(TYPE_MATRIX)} = m.idx")
 def catalog_conversions(spark, d):
-    res = cat.resolve_types(part_catalog(spark, d, TYPE_MATRIX), max_depth=1)
+    res = cat.resolve_types(part_catalog(spark, d, TYPE_MATRIX))
     return res.filter(F.col("depth") == 0).select("p_partkey", F.col("name").alias("column_name"), "conversion")
 
 
@@ -221,7 +221,7 @@ _ERR_VALUES = _values([(i, t[0], BROKEN_REASONS.get(t[0])) for i, t in enumerate
        "ELSE err END AS reason FROM c WHERE p_size % 10 = 0 OR p_size % 7 = 0 OR err IS NOT NULL")
 def catalog_errors(spark, d):
     catalog = part_catalog(spark, d, _ERR_TEMPLATE, null_rules=True)
-    res = cat.resolve_types(catalog, max_depth=1)
+    res = cat.resolve_types(catalog)
     errs = cat.type_errors(res.filter(F.col("depth") == 0))
     return errs.select(F.regexp_extract("object", r"^p(\d+)$", 1).cast("long").alias("p_partkey"),
                        F.col("path").alias("column_name"), "code", "reason")
@@ -278,7 +278,7 @@ def nested_catalog(spark, d):
        "SELECT o_orderkey, coalesce('STRUCT<' || s || '>', 'VARIANT') AS struct_type, coalesce(n, 0) AS n_fields "
        "FROM orders LEFT JOIN t ON o_orderkey = l_orderkey")
 def catalog_nested(spark, d):
-    res = cat.resolve_types(nested_catalog(spark, d), max_depth=1)
+    res = cat.resolve_types(nested_catalog(spark, d))
     return res.filter(F.col("depth") == 0).select(
         F.col("path").cast("long").alias("o_orderkey"), F.col("final_type").alias("struct_type"),
         F.col("n_children").cast("long").alias("n_fields"))

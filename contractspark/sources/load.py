@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.names import col
+from ..operators.cast import cast_to
 from ..spec import ContractError, SCD2_COLUMNS, object_spec
 from ..types import ColumnPlan, plan_columns
 
@@ -44,12 +45,13 @@ def read_schema(obj, exclude=SCD2_COLUMNS, read_as: str = "final") -> T.StructTy
     return T.StructType(fields)
 
 
-def load(df: DataFrame, obj, exclude=SCD2_COLUMNS, read_as: str = "physical") -> DataFrame:
+def load(df: DataFrame, obj, exclude=SCD2_COLUMNS, read_as: str = "physical", mode: str = "strict") -> DataFrame:
     """L2/L3: keep the declared source columns in declared order, each at its load type; drop the rest.
 
     Exclusion is tested on the logical name; excluded columns that are present (operational metadata added by the
     loader) flow through untouched at their declared position. ``read_as="source"`` keeps the source types (no cast).
-    One ``select``: Catalyst prunes every other column out of the scan.
+    Nested fields are matched by name; ``mode="lenient"`` gives NULL for what cannot be cast. One ``select``: Catalyst
+    prunes every other column out of the scan.
     """
     if read_as not in READ_AS:
         raise ValueError(f"read_as must be one of {READ_AS}")
@@ -57,6 +59,10 @@ def load(df: DataFrame, obj, exclude=SCD2_COLUMNS, read_as: str = "physical") ->
     present = {c.lower(): c for c in df.columns}
     current = {f.name.lower(): f.dataType for f in df.schema.fields}
     plans = plan_columns(obj, exclude)
+    sources = [p.source.lower() for p in plans if not p.excluded]
+    twice = sorted({s for s in sources if sources.count(s) > 1})
+    if twice:
+        raise ContractError("ODCS-COL-003", f"object {obj.name!r}: several columns have the source name {twice}")
     missing = [p.source for p in plans if not p.excluded and p.source.lower() not in present]
     if missing:
         raise ContractError("ODCS-COL-002", f"object {obj.name!r}: source columns not found: {missing}")
@@ -70,6 +76,6 @@ def load(df: DataFrame, obj, exclude=SCD2_COLUMNS, read_as: str = "physical") ->
         if read_as != "source":
             target = _load_type(p, read_as)
             if current[p.source.lower()] != target:
-                c = c.cast(target)
+                c = cast_to(c, current[p.source.lower()], target, lenient=mode == "lenient")
         out.append(c.alias(p.source, metadata=_comment(p)) if _comment(p) else c.alias(p.source))
     return df.select(*out)

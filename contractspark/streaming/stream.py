@@ -7,6 +7,8 @@ through ``observe`` (``query.lastProgress["observedMetrics"]``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,24 +17,14 @@ from ..operators.convert import convert
 from ..operators.expect import gate, rules, _count_exprs
 from ..operators.write import write_frame
 from ..sources.load import load, read_schema
-from ..spec import SCD2_COLUMNS, object_spec
+from ..spec import SCD2_COLUMNS, ContractError, object_spec
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    Set by the cluster; when it is unset (local tests) a fresh local folder is made and registered as the session's
-    checkpoint folder, so everything after uses the same setting.
-    """
+    """A new folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``), which must be set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="contractspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    import uuid
-
+        raise ContractError("ODCS-RUN-002", "set spark.checkpoint.dir to a folder that the driver and all executors share")
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
@@ -63,9 +55,13 @@ def stream_frame(spark: SparkSession, obj, source_path: str, fmt: str = "parquet
 
 def run_stream(spark: SparkSession, obj, source_path: str, target_path: str, checkpoint: str | None = None,
                fmt: str = "parquet", out_fmt: str = "parquet", **kw):
-    """Run the stream once over everything available (``availableNow``) and return the finished query."""
+    """Run the stream once over everything that is new (``availableNow``) and return the finished query.
+
+    The checkpoint belongs to the target: by default it is the folder ``<target>_checkpoint`` beside it (on the target's
+    shared storage), so a further run into the same target goes on where the last one ended.
+    """
     df = stream_frame(spark, obj, source_path, fmt=fmt, **kw)
-    checkpoint = checkpoint or shared_dir(spark, "streams", object_spec(obj).name)
+    checkpoint = checkpoint or f"{target_path.rstrip('/')}_checkpoint"
     q = (df.writeStream.format(out_fmt).option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start(target_path))
     q.awaitTermination()

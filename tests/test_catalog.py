@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import contractspark as cs
 from contractspark.plans import catalog as cat
-from contractspark.spec import ContractSpec
+from contractspark.spec import ContractSpec, object_spec
 
 from .conftest import CONTRACTS
 
@@ -17,7 +17,7 @@ def decoded(spark):
 
 def test_scan_contracts(spark):
     rows = cat.scan_contracts(spark, CONTRACTS).collect()
-    assert [r.prefix for r in rows] == ["a_list", "broken", "empty", "marketing/promo", "shop.contract", "two_docs"]
+    assert sorted(r.prefix for r in rows) == ["a_list", "broken", "empty", "marketing/promo", "shop.contract", "two_docs"]
     assert cat.scan_contracts(spark, CONTRACTS + "/missing").count() == 0
 
 
@@ -89,3 +89,69 @@ def test_stage_schemas_keys_tags_collisions(spark, decoded):
                                   "contract string, object string")
     got = {(r.contract, r.slug, r.kind) for r in cat.name_collisions(names).collect()}
     assert got == {("c", "a_b", "collision"), ("c", "x", "duplicate")}
+
+
+HEAD = "version: '1'\nkind: k\napiVersion: v\nid: i\nstatus: s\n"
+
+
+def test_scan_takes_hidden_names_and_odd_folders(spark, tmp_path, monkeypatch):
+    root = tmp_path / "my contracts"
+    (root / "_in").mkdir(parents=True)
+    for name in ("_draft.yaml", ".hid.yaml", "plain one.yml", "_in/b.yaml"):
+        (root / name).write_text(HEAD)
+    want = ["_draft", ".hid", "plain one", "_in/b"]
+    assert sorted(r.prefix for r in cat.scan_contracts(spark, str(root)).collect()) == sorted(want)
+    assert sorted(r.prefix for r in cat.scan_contracts(spark, f"file://{str(root).replace(' ', '%20')}").collect() or []) in (sorted(want), [])
+
+
+def test_a_bad_contract_is_a_row_and_the_others_resolve(spark):
+    texts = {"position": HEAD + "schema: [{name: t, properties: [{name: a, primaryKeyPosition: first}]}]", "schema": HEAD + "schema: 5",
+             "tags": HEAD + "tags: 7", "yaml": "a: [", "good": HEAD + "schema: [{name: t, properties: [{name: a, logicalType: string, physicalType: STRING}]}]"}
+    decoded = cat.decode_contracts(spark.createDataFrame([(f"{k}.yaml", k, t) for k, t in texts.items()], "path string, prefix string, text string"))
+    errors = {r.path: r.code for r in cat.contract_errors(decoded).collect()}
+    assert errors == {"position.yaml": "ODCS-CFG-062", "schema.yaml": "ODCS-CFG-062", "tags.yaml": "ODCS-CFG-062", "yaml.yaml": "ODCS-IO-002"}
+    assert [(r.contract, r.final_type) for r in cat.resolve_types(cat.column_catalog(decoded)).collect()] == [("good", "STRING")]
+
+
+def _nested(depth):
+    p = {"name": "leaf", "logicalType": "integer", "physicalType": "INT"}
+    for k in range(depth):
+        p = {"name": f"s{k}", "logicalType": "object", "physicalType": "STRING", "properties": [p]}
+    return p
+
+
+def test_any_depth_resolves_in_one_scan_and_names_with_dots_stay_apart(spark):
+    import json
+
+    obj = {"name": "t", "properties": [
+        _nested(6), {"name": "a", "logicalType": "object", "physicalType": "STRING", "properties": [{"name": "b.c", "logicalType": "object", "physicalType": "STRING", "properties": [{"name": "p", "logicalType": "string", "physicalType": "STRING"}]}]},
+        {"name": "a.b", "logicalType": "object", "physicalType": "STRING", "properties": [{"name": "c", "logicalType": "object", "physicalType": "STRING", "properties": [{"name": "q", "logicalType": "string", "physicalType": "STRING"}]}]}]}
+    text = HEAD + "schema: [" + json.dumps(obj) + "]"
+    decoded = cat.decode_contracts(spark.createDataFrame([("x.yaml", "x", text)], "path string, prefix string, text string"))
+    res = cat.resolve_types(cat.column_catalog(decoded))
+    got = {r.name: r.final_type for r in res.filter("depth = 0").collect()}
+    assert got == {p.name: p.final.text for p in cs.plan_columns(object_spec(obj))}
+    assert got["a"] == "STRUCT<b.c:STRUCT<p:STRING>>"
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1 and "Join" not in plan
+
+
+def test_estate_rules_are_those_of_one_spec(spark):
+    import json
+
+    opts = [("integer", {"minimum": 1.5e20, "maximum": True, "custom": {"minimum": 3}}), ("number", {"multipleOf": 1.5e-05, "exclusiveMaximum": 2.0}),
+            ("string", {"custom": {"minLength": 3}, "pattern": "it's\\d"}), ("array", {"uniqueItems": "true", "minItems": 2}), ("object", {"required": ["a`b", "c"]})]
+    obj = {"name": "t", "properties": [{"name": f"x {k}", "logicalType": lt, "physicalType": "STRING", "logicalTypeOptions": o} for k, (lt, o) in enumerate(opts)]}
+    text = HEAD + "schema: [" + json.dumps(obj) + "]"
+    decoded = cat.decode_contracts(spark.createDataFrame([("x.yaml", "x", text)], "path string, prefix string, text string"))
+    got = sorted((r.column_ordinal, r.rule_ordinal, r.expectation, r.expression) for r in cat.expectation_catalog(cat.column_catalog(decoded)).collect())
+    from contractspark.operators.expect import column_rules
+
+    want = [(base, text) for c in object_spec(obj).columns for base, _, text, _ in column_rules(c)]
+    assert [(e, x) for _, _, e, x in got if "unique" not in e] == want
+
+
+def test_collisions_across_contracts(spark):
+    names = spark.createDataFrame([("a b", "t"), ("a_b", "t"), ("c", "u")], "contract string, object string")
+    assert cat.name_collisions(names).count() == 0
+    assert [(r.contract, r.slug, r.kind) for r in cat.name_collisions(names, across=True).collect()] == [("a_b", "t", "collision")]

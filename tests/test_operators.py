@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import contractspark as cs
-from contractspark.spec import ContractSpec, ObjectSpec
+from contractspark.spec import ContractSpec, ObjectSpec, object_spec
 
 from .conftest import CONTRACTS
 
@@ -322,3 +322,92 @@ def test_bad_temporal_bound_fails_at_plan_time():
         {"name": "d", "logicalType": "date", "physicalType": "DATE",
          "logicalTypeOptions": {"minimum": "2000-01-01", "exclusiveMaximum": "2031"}}]})
     assert [r.text for r in cs.rules(good)] == ["`d` >= '2000-01-01'", "`d` < '2031'"]
+
+
+# ---- findings of the last review -------------------------------------------------------------------------------
+
+
+def _contract(*objects):
+    return {"version": "1", "kind": "k", "apiVersion": "v", "id": "i", "status": "s", "schema": list(objects)}
+
+
+def _col(name, lt, pt, critical=False, required=False, **options):
+    return {"name": name, "logicalType": lt, "physicalType": pt, "logicalTypeOptions": options, "criticalDataElement": critical, "required": required}
+
+
+def test_failed_run_keeps_every_old_output(spark, tmp_path):
+    from contractspark.plans.apply import run_contracts
+
+    contract = _contract({"name": "a", "properties": [_col("x", "integer", "INT")]},
+                         {"name": "b", "properties": [_col("x", "integer", "INT", critical=True, minimum=0)]})
+    frame = lambda *v: spark.createDataFrame([(x,) for x in v], "x int")
+    run_contracts({"a": frame(1), "b": frame(2)}, contract, str(tmp_path))
+    with pytest.raises(Exception, match="rule failed"):
+        run_contracts({"a": frame(3), "b": frame(-4)}, contract, str(tmp_path))
+    read = lambda n: [r[0] for r in spark.read.parquet(f"{tmp_path}/{n}").collect()]
+    assert read("a") == [1] and read("b") == [2] and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+    run_contracts({"a": frame(3), "b": frame(4)}, contract, str(tmp_path))
+    assert read("a") == [3] and read("b") == [4] and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+
+
+def test_second_stream_run_adds_the_new_rows(spark, tmp_path):
+    from contractspark.streaming.stream import run_stream
+
+    obj = {"name": "t", "properties": [_col("x", "integer", "BIGINT")]}
+    for k in (5, 7):
+        spark.range(k).select(F.col("id").alias("x")).write.mode("append").parquet(f"{tmp_path}/in")
+        run_stream(spark, obj, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 12
+
+
+def test_bounds_on_timestamps_with_a_format(spark):
+    obj = {"name": "t", "properties": [_col("x", "timestamp", "STRING", format="MM/dd/yyyy HH:mm", minimum="2020-01-01T00:00:00", exclusiveMinimum="2019-01-01"),
+                                       _col("y", "timestamp", "TIMESTAMP", format="MM/dd/yyyy", maximum="2021-01-01")]}
+    df = spark.sql("SELECT '06/01/2019 10:00' x, timestamp '2020-05-05' y UNION ALL SELECT '06/01/2020 10:00', timestamp '2022-05-05'")
+    res = cs.apply_contract(df, obj)
+    assert [r.failed for r in res.summary().orderBy("rule_idx").collect()] == [1, 0, 1]
+
+
+def test_load_matches_nested_fields_by_name_and_can_be_lenient(spark):
+    from contractspark.sources.load import load
+
+    obj = {"name": "t", "properties": [{"name": "s", "logicalType": "object", "physicalType": "STRUCT<a:STRING,b:STRING>"}, _col("n", "integer", "INT")]}
+    df = spark.sql("SELECT named_struct('b', 'B', 'a', 'A') s, 'zz' n")
+    row = load(df, obj, mode="lenient").first()
+    assert (row.s.a, row.s.b, row.n) == ("A", "B", None)
+    assert cs.apply_contract(df, obj, mode="lenient").frame.first().n is None
+    twice = {"name": "t", "properties": [_col("a", "integer", "INT") | {"physicalName": "n"}, _col("b", "integer", "INT") | {"physicalName": "N"}]}
+    with pytest.raises(cs.ContractError):
+        load(df, twice)
+
+
+def test_predicates_are_their_texts_to_the_last_digit(spark):
+    obj = object_spec({"name": "t", "properties": [_col("x", "number", "DECIMAL(38,20)", maximum=0.1), _col("y", "integer", "INT", minimum=True)]})
+    df = spark.sql("SELECT cast('0.10000000000000000001' AS decimal(38,20)) x, 0 y")
+    assert [r.failed for r in cs.summarize(df, cs.rules(obj)).orderBy("rule_idx").collect()] == [1, 1]
+
+
+def test_required_field_of_a_variant(spark):
+    obj = object_spec({"name": "t", "properties": [_col("v", "object", "STRING", required=False) | {"logicalTypeOptions": {"required": ["a b"]}}]})
+    df = spark.sql("""SELECT parse_json('{"a b": 1}') v UNION ALL SELECT parse_json('{"a b": null}') UNION ALL SELECT parse_json('[1]') UNION ALL SELECT null""")
+    assert cs.summarize(df, cs.rules(obj)).first().failed == 2
+
+
+def test_counts_of_an_aborted_job_are_not_reported(spark):
+    from contractspark.operators.expect import observe_rules, rule_counts
+
+    rl = cs.rules({"name": "t", "properties": [_col("x", "integer", "INT", critical=True, minimum=0)]})
+    out, obs = observe_rules(spark.sql("SELECT -1 x"), rl)
+    with pytest.raises(Exception):
+        cs.gate(out, rl).collect()
+    with pytest.raises(Exception):
+        if rule_counts(obs, rl)[0]["checked"] == 0:
+            raise AssertionError("an aborted job looks clean")
+
+
+def test_tags_lose_any_white_space(spark):
+    from contractspark.operators.tags import parse_tags, tag_map
+
+    tags = ["k:\tv\n", " flag ", "a: b:c ", ":x", "\n"]
+    rows = spark.createDataFrame([("e", i, t) for i, t in enumerate(tags)], "e string, pos int, tag string")
+    assert {r.key: r.value for r in parse_tags(rows, "tag", ["e"], "pos").collect()} == tag_map(tags) == {"k": "v", "flag": "", "a": "b:c", "": ""}

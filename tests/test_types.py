@@ -109,14 +109,15 @@ def test_family_set_based_agrees(spark, text, fam):
     assert (row.phys_family if row.phys_valid else None) == fam
 
 
-def test_fold_depth_flag(spark):
+@pytest.mark.parametrize("depth", [1, 5, 12, 40])
+def test_any_depth_folds(spark, depth):
+    from contractspark.functions import ddl
     from contractspark.plans.catalog import classify_types
 
-    deep = "ARRAY<" * 5 + "INT" + ">" * 5
-    row = classify_types(spark.createDataFrame([(deep,)], "physical_type string"), depth=3).first()
-    assert not row.phys_valid and row.phys_too_deep
-    row = classify_types(spark.createDataFrame([(deep,)], "physical_type string"), depth=8).first()
-    assert row.phys_valid and not row.phys_too_deep
+    good, bad = "ARRAY<" * depth + "STRUCT<a:INT>" + ">" * depth, "ARRAY<" * depth + "NUMBER" + ">" * depth
+    rows = classify_types(spark.createDataFrame([(0, good), (1, bad)], "i int, physical_type string")).orderBy("i").collect()
+    assert rows[0].phys_valid and rows[0].phys_family == ddl.family(good) == "array"
+    assert not rows[1].phys_valid and ddl.family(bad) is None
 
 
 @pytest.mark.parametrize("lt,pt,opts,kind", [
