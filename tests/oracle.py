@@ -10,6 +10,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -74,7 +75,7 @@ def main(argv):
     import __spark_entry__ as e
 
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="oracle-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = e.queries(), e.oracle_sql()
     names = argv[2:] or list(qs)
