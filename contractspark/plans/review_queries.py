@@ -14,8 +14,7 @@ from . import catalog as cat
 from . import tables as tb
 from .apply import apply_contract, run_contracts
 from .catalog_queries import nested_catalog
-from .table_queries import CONTRACT_CUSTOMER_SQL, EXCLUDE, obj, query, staged, summary_of, summary_sql, table
-from ..streaming.stream import shared_dir
+from .table_queries import CONTRACT_CUSTOMER_SQL, EXCLUDE, obj, query, staged, summary_of, summary_sql, table, work_dir
 
 DEEP = "ARRAY<" * 12 + "INT" + ">" * 12
 
@@ -146,7 +145,7 @@ def expect_observed(spark, d):
     rows = staged(table(spark, d, "lineitem"), o)
     rule_list = rules(o, rows.columns)
     watched, seen = observe_rules(rows, rule_list)
-    watched.write.parquet(shared_dir(spark, "expect_observed"))
+    watched.write.parquet(work_dir(spark, "expect_observed"))
     counts = [{k: r[k] for k in ("action", "checked", "failed")} | {"expectation": r["expectation"]} for r in rule_counts(seen, rule_list)]
     return spark.createDataFrame(counts, "expectation string, action string, checked long, failed long").select("expectation", "action", "checked", "failed")
 
@@ -156,7 +155,7 @@ def contracts_all(spark, d):
     """A contract of two objects, run twice into one place; the second run takes the first one's place."""
     nation = {"name": "nation", "properties": [tb._p("id", "integer", "BIGINT", "n_nationkey", required=True, primaryKey=True)]}
     contract = ContractSpec.from_dict(json.loads(json.dumps({"version": "1", "kind": "k", "apiVersion": "v", "id": "i", "status": "s", "schema": [tb.CUSTOMER, nation]})))
-    target = shared_dir(spark, "contracts_all")
+    target = work_dir(spark, "contracts_all")
     frames = {"customer": table(spark, d, "customer").withColumn("_source_file", F.lit("customer")), "nation": table(spark, d, "nation")}
     for _ in range(2):
         run_contracts(frames, contract, target, EXCLUDE)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..streaming.stream import run_stream, shared_dir
+from ..streaming.stream import run_stream
 from . import tables as tb
-from .table_queries import EXCLUDE, EVENTS_SQL, events_flat, obj, query
+from .table_queries import EXCLUDE, EVENTS_SQL, events_flat, obj, query, work_dir
 
 
 @query("stream_contract", EVENTS_SQL.replace("'events' AS _source_file", "'events.parquet' AS _source_file"))
 def stream_contract(spark, d):
     """The events contract run as a stream (``availableNow``) into a folder under the shared checkpoint folder,
     then read back: the same rows as the batch run, with ``_source_file`` filled by the loader."""
-    target = shared_dir(spark, "stream_contract", "out")
+    target = work_dir(spark, "stream_contract", "out")
     run_stream(spark, obj(tb.EVENTS), d, target, exclude=EXCLUDE, options={"pathGlobFilter": "events.parquet"},
                operational={"_source_file": F.col("_metadata.file_name")})
     return events_flat(spark.read.parquet(target))

@@ -7,6 +7,9 @@ zoned timestamps as UTC wall clocks (``timestamp_ntz``), decimals as doubles.
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from ..operators.tags import merge_tags, parse_tags, tag_key, tag_value, tags_pe
 from ..operators.write import key_violations, primary_key, write_frame
 from ..sources.load import load
 from ..spec import ObjectSpec, exclusion_set
+from ..streaming.stream import shared_dir
 from . import tables as tb
 from .apply import apply_contract
 
@@ -38,6 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def work_dir(spark: SparkSession, *parts: str) -> str:
+    """A new folder for a query's own writes, under ``spark.checkpoint.dir``; a local session without one gets one."""
+    one_machine = re.match(r"local(\[|$)", spark.sparkContext.master)
+    if one_machine and not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="contractspark-"))
+    return shared_dir(spark, *parts)
+
+
 def obj(d: dict, keep=None, **override) -> ObjectSpec:
     """An object of ``d`` with only the named columns (in the given order) and ``override`` column options."""
     props = d["properties"]
