@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import uuid
@@ -71,7 +72,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = kept.get() if kept.isDefined() else None
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
