@@ -11,11 +11,13 @@ entries are bounded away before they are formed:
   so many empty blocks that the agreeing ones might all be empty signs for an empty block as well; others needn't.)
 * Signatures are dealt by range of (signature, class), which splits a hot one over tasks; only those that two classes share
   go on.
-* In a group of rows with one signature, only the pairs with a few leaders are formed, which is linear in the group; their
-  overlaps are accumulated exactly, in blocks of rows. Pairs within one component need no product any more; groups that
-  still hold several components go round again with other leaders until none does, so no link is lost.
+* Every row of a group with one signature is first multiplied with the group's least row, which is linear in the group. A group
+  that then still holds several components is open. Open rows go by family (rows that signatures connect) and blocks of
+  bounded bytes; two blocks meet unless both belong to one component, which needs no more links. A task holds two blocks and
+  accumulates the overlaps of their rows over all shared columns, discards what the bound excludes, and sends on only links
+  that join two components.
 
-Overlaps are counts over the full rows, in numpy, in batches of pairs; components come from label propagation by joins.
+Overlaps are counts over the full rows; components come from label propagation by joins.
 
 Defined cases: null or blank text has no shingles, size 0 and is its own component; every row gives a row of the result,
 repeated ones too; rows with one id are one node, so what links to either of their texts is one component; a row without
@@ -27,21 +29,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractspark.llm.common import blank_words, stored
+from contractspark.llm.decontaminate import expand
 
 _MEMORY = 400_000
 #: Ids (with class keys) of candidates that are broadcast to fetch their texts; with more, the texts are shuffled.
 BROADCAST_IDS = 300_000
-#: Bytes of rows in one block of the product.
-PRODUCT_BYTES = 8 << 20
+#: Bytes of rows in a batch of pairs, and in one block of the product.
+PRODUCT_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -148,8 +151,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 class _Join:
     """One run of the join over (``_id``, ``_text``) rows."""
 
-    def __init__(self, docs: DataFrame, n: int, num: int, den: int, leaders: int):
-        self.docs, self.n, self.num, self.den, self.leaders = docs, n, num, den, leaders
+    def __init__(self, docs: DataFrame, n: int, num: int, den: int):
+        self.docs, self.n, self.num, self.den = docs, n, num, den
         self.id = docs.schema["_id"].dataType
         self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -252,6 +255,40 @@ class _Join:
         return both.mapInArrow(in_task, T.StructType([T.StructField("a", self.id), T.StructField("b", self.id)]))
 
 
+def linked_blocks(num: int, den: int, block: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that join components, among the rows of blocks ``i`` and ``j``: a sparse product row by row.
+
+    ``block``: i, j, blk, rep, comp and row of the rows of both blocks.
+    """
+    i, j = block["i"].iloc[0], block["j"].iloc[0]
+    at = {blk: own for blk, own in block.groupby("blk", sort=False)}
+    left, right = at[i], at[j]
+    rows, reps = [np.frombuffer(x, np.uint64) for x in right["row"]], right["rep"].tolist()
+    size = np.array([len(x) for x in rows], np.int64)
+    columns, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), size)
+    order = np.argsort(columns, kind="stable")
+    columns, owner = columns[order], owner[order]
+    root: dict[object, object] = {}
+
+    def find(x: object) -> object:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    links, comps = [], right["comp"].tolist()
+    for rep, comp, x in zip(left["rep"], left["comp"], left["row"]):
+        x = np.frombuffer(x, np.uint64)
+        first = np.searchsorted(columns, x, "left")
+        both = np.bincount(owner[expand(first, np.searchsorted(columns, x, "right") - first)], minlength=len(rows))
+        for y in np.flatnonzero(den * both >= num * (len(x) + size - both)):
+            p, q = find(comp), find(comps[y])
+            if p != q:
+                root[p] = q
+                links.append((rep, reps[y]))
+    return pd.DataFrame({"a": [x for x, _ in links], "b": [x for _, x in links]}, columns=["a", "b"]).astype(block["rep"].dtype)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, comp): the smallest node of each node's component, over edges (a, b) of one orderable type.
 
@@ -273,11 +310,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100,
-                    leaders: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``; two rows link at Jaccard ``num / den`` or more."""
     src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    join = _Join(src, n, num, den, leaders)
+    join = _Join(src, n, num, den)
     described = stored(join.described(), "signatures")
     every = described.drop("sigs")
     reps = every.where("n_shingles > 0 and _id is not null").groupBy("c1", "c2").agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("size"))
@@ -291,23 +327,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sizes = members.select(F.col("rep").alias("lead"), F.col("size").alias("lead_size")).distinct()
     pairs = members.where("rep > lead").select("lead", "rep", "size").distinct().join(sizes, "lead").where(fits).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
     edges = stored(join.linked(pairs, rows), "links")
-    used = members.select("sig", F.col("lead").alias("rep")).distinct()
-    for turn in count():
-        comp = components(edges)
-        of = members.select("sig", "rep", "size").join(used, ["sig", "rep"], "left_anti").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-        of = of.withColumn("comp", F.coalesce("comp", "rep"))
-        open_ = of.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        left = stored(of.join(open_.select("sig", "low"), "sig"), "open")
-        # leaders: the least row of each of a few buckets, outside the component of the least label
-        bucket = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(leaders))
-        lead = stored(left.where("comp > low").groupBy("sig", bucket.alias("k")).agg(F.min(F.struct("rep", "size", "comp")).alias("x"))
-                      .select("sig", F.col("x.rep").alias("lead"), F.col("x.size").alias("lead_size"), F.col("x.comp").alias("lead_comp")), "leaders")
-        if not lead.limit(1).count():
-            break
-        more = left.join(lead, "sig").where(F.col("comp") != F.col("lead_comp")).where(fits)
-        more = more.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
-        edges = stored(edges.union(join.linked(more, rows)), "links")
-        used = stored(used.union(lead.select("sig", F.col("lead").alias("rep"))).distinct(), "used")
+    comp = components(edges).withColumnRenamed("node", "rep")
+    # open groups: those that without their least row, which has met all others, are not one component
+    rest = members.where("rep > lead").join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    open_ = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("sig")
+    left = stored(rest.join(open_, "sig").select("rep", "size", "comp", "lead").distinct(), "open")
+    family = components(left.select(F.col("lead").alias("a"), F.col("rep").alias("b"))).select(F.col("node").alias("rep"), F.col("comp").alias("fam"))
+    own = left.select("rep", "size", "comp").distinct().join(family, "rep")
+    # blocks: a component of more bytes than one has blocks of its own, the others of a family share theirs
+    parts = own.groupBy("fam", "comp").agg((F.sum("size") * 8).alias("bytes"))
+    alone = F.col("bytes") > BLOCK_BYTES
+    shared = parts.where(~alone).groupBy("fam").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
+    where = parts.join(shared, "fam", "left").select("fam", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
+                                                   F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
+    dealt = stored(own.join(where, ["fam", "comp"]).select("fam", "comp", "rep", F.concat_ws("/", "pool", F.pmod(F.xxhash64("rep"), "n")).alias("blk")), "blocks")
+    blocks = dealt.groupBy("fam", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    other = blocks.select("fam", F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
+    meet = blocks.withColumnRenamed("blk", "i").join(other, "fam").where("i <= j and (low < high or low_j < high_j or low != low_j)")
+    meet = meet.select("fam", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
+    both = meet.join(dealt, ["fam", "blk"]).join(rows, "rep").select("fam", "i", "j", "blk", "rep", "comp", "row")
+    found = both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema)
+    comp = components(stored(edges.union(found), "links"))
 
     named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", F.coalesce("comp", "rep").alias("comp"))
     out = every.join(named, ["c1", "c2"], "left")
