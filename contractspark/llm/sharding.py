@@ -17,6 +17,7 @@ carried; ``size``, ``shard`` and ``slot`` replace columns of those names.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -66,10 +67,22 @@ def probes_between(low: int, high: int, n: int) -> list[int]:
     return sorted({low + (high - low) * j // (n + 1) for j in range(1, n + 1)} - {low, high}) or ([low + 1] if high - low > 1 else [])
 
 
-def find_splitters(keys: DataFrame, blocks: int, slack: float, n_probes: int = 24) -> list[tuple[int, int]]:
+def within(ranges: list[tuple[int, int]]) -> Column:
+    """Whether a key's text hash lies in one of the key ranges."""
+    texts: list[list[int]] = []
+    for first, last in sorted((max(0, a) // _TEXT, b // _TEXT) for a, b in ranges):
+        if texts and first <= texts[-1][1]:
+            texts[-1][1] = max(last, texts[-1][1])
+        else:
+            texts.append([first, last])
+    return reduce(Column.__or__, (F.col("_k1").between(first - _SIGN, last - _SIGN) for first, last in texts))
+
+
+def find_splitters(keys: DataFrame, blocks: int, slack: float, most_probes: int = 2048) -> list[tuple[int, int]]:
     """(key, rows up to it) that part the keys into ``blocks`` ranges, bytes up to each within ``slack`` of an equal share.
 
-    Where rows are too large for that, the nearest key.
+    Where rows are too large for that, the nearest key. A round counts only keys between the bounds of the open splitters, so
+    the rounds after the first read little, and the fewer splitters are open, the more probes each has.
     """
     total_rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     want = [total * (i + 1) // blocks for i in range(blocks - 1)]
@@ -77,19 +90,21 @@ def find_splitters(keys: DataFrame, blocks: int, slack: float, n_probes: int = 2
     high = [(_TEXT * _TEXT - 1, total_rows, total)] * len(want)
     final: dict[int, tuple[int, int]] = {}
     while len(final) < len(want):
-        asked = {i: probes_between(low[i][0], high[i][0], n_probes) for i in range(len(want)) if i not in final}
-        ask = sorted({p for own in asked.values() for p in own})
-        told = list(zip(ask, counts_at(keys, ask))) if ask else []
-        for i, own in asked.items():
-            for key, (rows, size) in told:
-                if low[i][0] < key < high[i][0]:
-                    if size <= want[i]:
-                        low[i] = (key, rows, size)
-                    else:
-                        high[i] = (key, rows, size)
-                        break
+        open_ = [i for i in range(len(want)) if i not in final]
+        asked = {i: probes_between(low[i][0], high[i][0], max(8, most_probes // len(open_))) for i in open_}
+        ask = sorted({p for i in open_ for p in (*asked[i], max(0, low[i][0]))})
+        near = keys.where(within([(low[i][0], high[i][0]) for i in open_]))
+        at = dict(zip(ask, counts_at(near, ask)))
+        for i in open_:
+            base, (_, rows, size) = at[max(0, low[i][0])] if low[i][0] >= 0 else (0, 0), low[i]
+            for key in asked[i]:
+                now = (key, rows + at[key][0] - base[0], size + at[key][1] - base[1])
+                if now[2] > want[i]:
+                    high[i] = now
+                    break
+                low[i] = now
             under, over = want[i] - low[i][2], high[i][2] - want[i]
-            if min(under, over) <= slack or not own:
+            if min(under, over) <= slack or not asked[i]:
                 final[i] = low[i][:2] if under <= over else high[i][:2]
     return sorted(final.values())
 
