@@ -12,8 +12,9 @@ entries are bounded away before they are formed:
 * Signatures are dealt by range of (signature, class), which splits a hot one over tasks; only those that two classes share
   go on.
 * Every row of a group with one signature is first multiplied with the group's least row, which is linear in the group. A group
-  that then still holds several components is open. Open rows go by family (rows that signatures connect) and blocks of
-  bounded bytes; two blocks meet unless both belong to one component, which needs no more links. A task holds two blocks and
+  that then still holds several components is open. Open rows go by family (rows that signatures connect) and blocks of one
+  size class and bounded bytes; two blocks meet unless their sizes are too far apart or both belong to one component, which
+  needs no more links. A task holds two blocks and
   accumulates the overlaps of their rows over all shared columns, discards what the bound excludes, and sends on only links
   that join two components.
 
@@ -27,6 +28,7 @@ The result has columns of its own only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -333,17 +335,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     open_ = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("sig")
     left = stored(rest.join(open_, "sig").select("rep", "size", "comp", "lead").distinct(), "open")
     family = components(left.select(F.col("lead").alias("a"), F.col("rep").alias("b"))).select(F.col("node").alias("rep"), F.col("comp").alias("fam"))
-    own = left.select("rep", "size", "comp").distinct().join(family, "rep")
-    # blocks: a component of more bytes than one has blocks of its own, the others of a family share theirs
-    parts = own.groupBy("fam", "comp").agg((F.sum("size") * 8).alias("bytes"))
+    # sizes of rows that link are within num / den of each other: in one size class or two neighbouring ones
+    step = math.log(1.01 * den / num)
+    own = left.select("rep", "size", "comp").distinct().join(family, "rep").withColumn("cls", F.floor(F.log("size") / step))
+    # blocks: a component of more bytes than one has blocks of its own, the others of a family and class share theirs
+    parts = own.groupBy("fam", "cls", "comp").agg((F.sum("size") * 8).alias("bytes"))
     alone = F.col("bytes") > BLOCK_BYTES
-    shared = parts.where(~alone).groupBy("fam").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
-    where = parts.join(shared, "fam", "left").select("fam", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
-                                                   F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
-    dealt = stored(own.join(where, ["fam", "comp"]).select("fam", "comp", "rep", F.concat_ws("/", "pool", F.pmod(F.xxhash64("rep"), "n")).alias("blk")), "blocks")
-    blocks = dealt.groupBy("fam", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    other = blocks.select("fam", F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
-    meet = blocks.withColumnRenamed("blk", "i").join(other, "fam").where("i <= j and (low < high or low_j < high_j or low != low_j)")
+    shared = parts.where(~alone).groupBy("fam", "cls").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
+    where = parts.join(shared, ["fam", "cls"], "left").select("fam", "cls", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
+                                                            F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
+    dealt = own.join(where, ["fam", "cls", "comp"]).select("fam", "cls", "comp", "rep", F.concat_ws("/", "cls", "pool", F.pmod(F.xxhash64("rep"), "n")).alias("blk"))
+    dealt = stored(dealt, "blocks")
+    blocks = dealt.groupBy("fam", "cls", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    other = blocks.select("fam", F.col("cls").alias("cls_j"), F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
+    meet = blocks.withColumnRenamed("blk", "i").join(other, "fam").where("i <= j and abs(cls - cls_j) <= 1 and (low < high or low_j < high_j or low != low_j)")
     meet = meet.select("fam", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
     both = meet.join(dealt, ["fam", "blk"]).join(rows, "rep").select("fam", "i", "j", "blk", "rep", "comp", "row")
     found = both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema)
