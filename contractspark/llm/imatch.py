@@ -42,15 +42,17 @@ def lexicon(docs: DataFrame, least: float, most: float) -> DataFrame:
 
 
 def family_hashes(terms: Column, family: int, parts: int) -> Column:
-    def part(h: Column) -> Column:
-        return F.pmod(F.xxhash64(h, F.lit(family)), F.lit(parts))
+    """Hashes of the family's subsets. Terms are dealt to parts once; the array of one holds that for all subsets."""
+    def dealt(h: Column) -> Column:
+        return F.struct(F.pmod(F.xxhash64(h, F.lit(family)), F.lit(parts)).alias("part"), h.alias("h"))
 
-    def subset(j: Column) -> Column:
-        own = F.filter(chosen, lambda h: part(h) == j)
-        return F.when(F.size(own) > 0, F.hash(own))
+    def hashes(own: Column) -> Column:
+        def subset(j: Column) -> Column:
+            return F.transform(F.array(F.filter(own, lambda x: x["part"] == j)), lambda t: F.when(F.size(t) > 0, F.hash(t)))[0]
 
-    chosen = F.filter(terms, lambda h: part(h) < SUBSETS) if parts > SUBSETS else terms
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), subset)
+        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), subset)
+
+    return F.transform(F.array(F.filter(F.transform(terms, dealt), lambda x: x["part"] < SUBSETS)), hashes)[0]
 
 
 def subset_hashes(terms: Column) -> Column:
