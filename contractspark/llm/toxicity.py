@@ -47,7 +47,7 @@ class FactorizationMachine:
 
     def score(self, buckets: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Probabilities of the rows whose buckets are ``buckets[starts[r]:starts[r + 1]]``."""
-        return 1 / (1 + np.exp(-np.clip(_margins(self.bias, self.weights, self.factors, buckets, starts)[0], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(_margins(self.bias, self.weights, self.factors, buckets, starts), -30, 30)))
 
 
 def _row_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -57,11 +57,11 @@ def _row_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _margins(bias, weights, factors, buckets, starts):
     counts = np.maximum(np.diff(starts), 1)
-    v = factors[buckets]
+    v = factors.take(buckets, axis=0)
     sums = _row_sums(v, starts)
     squares = _row_sums((v * v).sum(axis=1), starts)
     pairs = 0.5 * ((sums * sums).sum(axis=1) - squares) / counts
-    return bias + _row_sums(weights[buckets], starts) + pairs, sums, counts
+    return bias + _row_sums(weights[buckets], starts) + pairs
 
 
 def word_terms(word: str) -> set[str]:
@@ -73,26 +73,29 @@ def word_terms(word: str) -> set[str]:
     return {marked, *(marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1))}
 
 
-def term_buckets(texts: list[str | None], bits: int, memory: dict[str, tuple[int, ...]],
+def term_buckets(texts: list[str | None], bits: int, memory: dict[str, np.ndarray],
                  used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed terms of each text, one after another, and where each text's begin.
 
     ``used`` (by bucket) leaves out the buckets whose parameters are all 0.
     """
-    mask, found, starts = (1 << bits) - 1, [], [0]
+    mask, found, starts, hit = (1 << bits) - 1, [], [0], np.zeros(1 << bits, bool)
     for text in texts:
-        own: set[int] = set()
+        words = []
         for w in set(WORD.findall((text or "").lower())):
             got = memory.get(w)
             if got is None:
-                got = {zlib.crc32(t.encode("utf-8", "replace")) & mask for t in word_terms(w)}
-                got = tuple(got if used is None else (x for x in got if used[x]))
+                own = {zlib.crc32(t.encode("utf-8", "replace")) & mask for t in word_terms(w)}
+                got = np.array([x for x in own if used is None or used[x]], np.int64)
                 if len(memory) >= _MEMORY:
                     memory.clear()
                 memory[w] = got
-            own.update(got)
-        found.append(np.fromiter(own, np.int64, len(own)))
-        starts.append(starts[-1] + len(own))
+            words.append(got)
+        if words:
+            hit[np.concatenate(words)] = True
+        found.append(np.flatnonzero(hit))
+        hit[found[-1]] = False
+        starts.append(starts[-1] + len(found[-1]))
     return (np.concatenate(found) if found else np.zeros(0, np.int64)), np.array(starts, np.int64)
 
 
@@ -100,43 +103,51 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int
         rate: float = 0.3, l2: float = 1e-3, seed: int = 7, rare: int = 5, z: float = 3.0) -> FactorizationMachine:
     """AdaGrad on the logistic loss, in minibatches of rows.
 
-    Buckets in fewer than ``rare`` training rows, or whose share of toxic rows lies within ``z`` standard errors of the
-    base rate, keep weight and factors of 0: they would only be learnt by heart.
+    Buckets in fewer than ``rare`` training rows keep weight and factors of 0: they would only be learnt by heart. The
+    others all have factors, as a term that is neutral alone may be toxic beside another one; those whose share of toxic
+    rows lies within ``z`` standard errors of the base rate keep a weight of 0 only.
     """
     y = np.asarray(labels, np.float64)
     base = (y.sum() + 0.5) / (len(y) + 1)
     size, rng = 1 << bits, np.random.default_rng(seed)
-    w, v = np.zeros(size), rng.normal(0, 0.05, (size, factors))
-    bias, seen = float(np.log(base / (1 - base))), np.zeros(size, bool)
+    w, v = np.zeros(size), rng.normal(0, 0.05, (size, factors)).astype(np.float32)
+    bias, seen, additive = float(np.log(base / (1 - base))), np.zeros(size, bool), np.zeros(size, bool)
     if 0 < y.sum() < len(y):
         flat, starts = term_buckets(texts, bits, {})
         rows_with, toxic_with = np.bincount(flat, minlength=size), np.bincount(flat, np.repeat(y, np.diff(starts)), size)
         off = (toxic_with - base * rows_with) / np.sqrt(np.maximum(rows_with * base * (1 - base), 1e-9))
-        seen = (rows_with >= rare) & (np.abs(off) >= z)
+        seen = rows_with >= rare
+        additive = seen & (np.abs(off) >= z)
         flat, starts = flat[seen[flat]], np.concatenate([[0], np.cumsum(seen[flat])])[starts]
-        gw, gv, gb = np.full(size, 1e-3), np.full((size, factors), 1e-3), 1e-3
+        gw, gv, gb = np.full(size, 1e-3), np.full((size, factors), 1e-3, np.float32), 1e-3
+        hit, at = np.zeros(size, bool), np.zeros(size, np.int64)
         for _ in range(epochs):
             for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128)):
                 lengths = starts[rows + 1] - starts[rows]
                 own = np.concatenate([[0], np.cumsum(lengths)])
                 idx = flat[np.repeat(starts[rows] - own[:-1], lengths) + np.arange(own[-1])]
-                margin, sums, counts = _margins(bias, w, v, idx, own)
+                hit[idx] = True
+                uniq = np.flatnonzero(hit)
+                hit[uniq], at[uniq] = False, np.arange(len(uniq))
+                x = np.zeros((len(rows), len(uniq)), np.float32)  # the batch's rows over its own buckets
+                x[np.repeat(np.arange(len(rows)), lengths), at[idx]] = 1
+                vu, counts = v.take(uniq, axis=0), np.maximum(lengths, 1)
+                got = x @ np.column_stack([vu, w[uniq], (vu * vu).sum(axis=1)]).astype(np.float32)
+                sums = got[:, :factors].astype(np.float64)
+                margin = bias + got[:, factors] + 0.5 * ((sums * sums).sum(axis=1) - got[:, factors + 1]) / counts
                 err = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[rows]) / len(rows)
-                per = np.repeat(err, lengths)
-                uniq, place = np.unique(idx, return_inverse=True)
-                dw = np.bincount(place, per, len(uniq)) + l2 * w[uniq] / len(rows)
-                scaled = np.repeat(err / counts, lengths)
-                dv = np.empty((len(uniq), factors))
-                for f in range(factors):
-                    dv[:, f] = np.bincount(place, scaled * (np.repeat(sums[:, f], lengths) - v[idx, f]), len(uniq))
-                dv += l2 * v[uniq] / len(rows)
+                scaled = err / counts
+                back = (np.column_stack([sums * scaled[:, None], err, scaled]).T.astype(np.float32) @ x).T
+                dw = (back[:, factors] + l2 * w[uniq] / len(rows)) * additive[uniq]
+                dv = back[:, :factors] + (np.float32(l2 / len(rows)) - back[:, factors + 1:]) * vu
                 gw[uniq] += dw * dw
-                gv[uniq] += dv * dv
+                own_gv = gv.take(uniq, axis=0) + dv * dv
+                gv[uniq] = own_gv
                 gb += err.sum() ** 2
                 w[uniq] -= rate * dw / np.sqrt(gw[uniq])
-                v[uniq] -= rate * dv / np.sqrt(gv[uniq])
+                v[uniq] = vu - np.float32(rate) * dv / np.sqrt(own_gv)
                 bias -= rate * err.sum() / np.sqrt(gb)
-    w[~seen], v[~seen] = 0, 0
+    w[~additive], v[~seen] = 0, 0
     return FactorizationMachine(bits, float(bias), w.astype(np.float32), v.astype(np.float32))
 
 
@@ -182,8 +193,8 @@ def score(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text
         m, memory = FactorizationMachine(*sent.value), {}
         used = (m.weights != 0) | (m.factors != 0).any(axis=1)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):  # bounded rows of factors in memory
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 64):  # bounded rows of factors in memory
+                part = batch.slice(start, 64)
                 s = m.score(*term_buckets(part.column(at).to_pylist(), m.bits, memory, used))
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
                                                  [*(f.name for f in carried), *names])

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -53,6 +54,21 @@ def test_factorization_machine_learns_a_pair():
     assert s[0] > 0.5 > max(s[1:])
 
 
+@pytest.mark.parametrize("label", [lambda a, b: a * b, lambda a, b: a ^ b])
+def test_factorization_machine_learns_pairs_by_default(label):
+    """With the defaults, both together, and one or the other only: in the latter no word alone says anything."""
+    rng, texts, labels = np.random.default_rng(3), [], []
+    for k in range(1600):
+        a, b = k % 2, (k // 2) % 2
+        texts.append(" ".join([*(f"w{rng.integers(8)}" for _ in range(3)), ["friendly", "insulting"][a], ["nobody", "somegroup"][b]]))
+        labels.append(label(a, b))
+    m = toxicity.fit(texts, labels)
+    used = (m.weights != 0) | (m.factors != 0).any(axis=1)
+    four = [(a, b) for a in (0, 1) for b in (0, 1)]
+    s = m.score(*toxicity.term_buckets([f"{['friendly', 'insulting'][a]} {['nobody', 'somegroup'][b]} w1" for a, b in four], m.bits, {}, used))
+    assert [x > 0.5 for x in s] == [label(a, b) == 1 for a, b in four]
+
+
 def test_votes_equal_plain_neighbours():
     rng = np.random.default_rng(1)
     texts = [cases.prose(k, 50) + "!" * int(rng.integers(5)) for k in range(60)]
