@@ -3,8 +3,9 @@
 Base shapes (leftmost, non-overlapping per kind): an assignment to a secret's name, an access key id, a run of hex digits.
 The method looks at every other run of key characters: its characters per token under a byte-pair vocabulary (tiktoken)
 are high for words and low for random strings, so a run of ``least`` characters or more below ``ratio`` is a finding of
-kind ``random``, unless it is a known digest (hex of a digest's length), a UUID, or an identifier (letters only, digits
-only, or words and numbers joined by ``_ - / . =``).
+kind ``random``, unless it is a known digest (hex of a digest's length), a UUID, or an identifier: words and numbers, alone
+or joined by ``_ - / . =``, whose letters the vocabulary splits into words (``letters`` characters a token or more; compound
+words have fewer than other text, so this limit is below ``ratio``).
 
 A map over documents in Arrow batches; the vocabulary's path is a parameter and must exist on the executors. Tokens of a
 run are counted in slices of 400 characters, so a very long run costs linear time.
@@ -51,12 +52,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def is_known(run: str) -> bool:
-    """A digest, a UUID or an identifier."""
+def is_known(run: str, of: TokenRatio, letters: float) -> bool:
+    """A digest, a UUID or an identifier. Parts of fewer than four letters say nothing; long ones are judged each."""
     if UUID.fullmatch(run) or (len(run) in DIGESTS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run)):
         return True
     parts = [p for p in re.split(r"[_/=.+-]+", run) if p]
-    return all(p.isalpha() or p.isdigit() or re.fullmatch(r"[A-Za-z]+[0-9]{1,4}", p) for p in parts)
+    if not all(p.isalpha() or p.isdigit() or re.fullmatch(r"[A-Za-z]+[0-9]{1,4}", p) for p in parts):
+        return False
+    words = [w for p in parts if len(w := p.rstrip("0123456789")) >= 4]
+    ratios = [of(w) for w in words]
+    if any(len(w) >= 8 and r < letters for w, r in zip(words, ratios)):
+        return False
+    return not words or sum(map(len, words)) >= letters * sum(len(w) / r for w, r in zip(words, ratios))
 
 
 class TokenRatio:
@@ -75,7 +82,7 @@ class TokenRatio:
         return len(run) / max(1, sum(len(self.coder.encode_ordinary(run[i:i + 400])) for i in range(0, len(run), 400)))
 
 
-def random_spans(text: str, base: list[tuple[int, int, str]], of: TokenRatio, least: int, ratio: float, run: re.Pattern) -> list[tuple[int, int, str]]:
+def random_spans(text: str, base: list[tuple[int, int, str]], of: TokenRatio, least: int, ratio: float, letters: float, run: re.Pattern) -> list[tuple[int, int, str]]:
     """Runs outside the base spans that the vocabulary finds no words in."""
     found = []
     taken = sorted(base)
@@ -86,13 +93,13 @@ def random_spans(text: str, base: list[tuple[int, int, str]], of: TokenRatio, le
         while e - s >= least and text[s] in "=-_/+":
             s += 1
         own = text[s:e]
-        if e - s >= least and not any(a < e and s < b for a, b, _ in taken) and not is_known(own) and of(own) < ratio:
+        if e - s >= least and not any(a < e and s < b for a, b, _ in taken) and not is_known(own, of, letters) and of(own) < ratio:
             found.append((s, e, "random"))
     return found
 
 
 def scan(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "text", least: int = 16, ratio: float = 2.2,
-         keep: list[str] | None = None, result: str = "secrets") -> DataFrame:
+         letters: float = 1.9, keep: list[str] | None = None, result: str = "secrets") -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``result``: findings (kind, start, end) in code points, by start then kind."""
     own = "__text"
     src = docs.withColumn(own, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
@@ -108,7 +115,7 @@ def scan(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "tex
             rows = []
             for text in (x.as_py() for x in batch.column(at)):
                 base = base_spans(text)
-                spans = base + random_spans(text, base, of, least, ratio, run)
+                spans = base + random_spans(text, base, of, least, ratio, letters, run)
                 rows.append([{"kind": k, "start": s, "end": e} for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))])
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), pa.array(rows, kind)], [*carried, result])
 

@@ -205,6 +205,16 @@ def test_secrets(spark):
     assert secrets_scan.scan(docs.limit(0), p.path("byte_bpe_50k.tiktoken"), p.PATTERN).count() == 0
 
 
+def test_random_letters_are_found(spark):
+    import public_tokenizers as p
+
+    texts = ["key qZtWvKxRbNpLmHjGfDsYcVwX end", "key XQZVKJWPTRGBHNMLCDFSYKQZ end", "key zXkQvBnMpLwRtY42 end", "see user_zXkQvBnMpLwRtYgH",
+             "internationalization configurationmanager some_identifier_with_words user_2023-table/v2_final a-b-c-d-e-f-g-h-i-j 2023-01-02/12345678"]
+    found = secrets_scan.scan(cases.documents(spark, list(enumerate(texts))), p.path("byte_bpe_50k.tiktoken"), p.PATTERN).collect()
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.secrets] for r in found}
+    assert got == {k: [("random", t.split()[1])] for k, t in enumerate(texts[:4])} | {4: []}
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.NET/en/1?x#y", "https://example.net/de/", "http://example.com/de/x", "http://notexample.com/fr", "http://w.org/fr/", "http://w.org", "http://bad.test/1", "http://good.test:80/1", "no scheme", None, "x://"]
     pages = spark.createDataFrame([*enumerate(urls), (None, "http://bad.test/2"), *((100 + i, "http://bad.test/z") for i in range(40))], "page_id long, url string")
