@@ -5,9 +5,9 @@ inverse-document-frequency band): neither the words of every text nor those of a
 with d distinct terms each have at most d / least such terms, however many documents there are, so the lexicon can be
 broadcast; its count is checked first, and beyond ``broadcast_terms`` the same join runs by shuffle.
 
-A text's lexicon terms, distinct and sorted, are hashed once for each of several random subsets of the lexicon: three
-families of 16 subsets that hold a term with probability 1/64, 1/256 and 1/1024, so short and long texts both have subsets
-with a term or two. The fingerprint is the list of these hashes (``-`` where the text has no term of a subset). Likeness is
+A text's lexicon terms, distinct and sorted, are hashed once for each of several random subsets of the lexicon: four
+families of 16 subsets that hold a term with probability 1/16, 1/64, 1/256 and 1/1024, so short and long texts both have
+subsets with a term or two. The 16 subsets of the first family are the whole lexicon, so every lexicon term is hashed. The fingerprint is the list of these hashes (``-`` where the text has no term of a subset). Likeness is
 the share of equal hashes among subsets in which either text has terms. A text without lexicon terms is fingerprinted by
 a hash of itself, which is like equal texts only.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from contractspark.llm.common import stored
 
 #: Subsets of a family, and for each family the number of parts of the lexicon of which its subsets are the first ones.
-SUBSETS, FAMILIES = 16, (64, 256, 1024)
+SUBSETS, FAMILIES = 16, (16, 64, 256, 1024)
 
 
 def term_hashes(text: Column) -> Column:

@@ -249,6 +249,14 @@ def test_fingerprints(spark):
     assert len(imatch.fingerprints(cases.documents(spark, [(1, "a b c")])).collect()) == 1
 
 
+def test_every_lexicon_term_is_hashed(spark):
+    """Short texts, each of whose words is in two others: none may fall back to a hash of the whole text."""
+    docs = [(i, f"w{i} w{i + 1} w{i + 2}") for i in range(100)]
+    got = {r.doc_id: r for r in imatch.fingerprints(cases.documents(spark, docs)).collect()}
+    assert not [i for i, r in got.items() if r.fingerprint.startswith("text ")]
+    assert sum(r.near_next > 0 for r in got.values()) >= 90  # two of three words are the next one's, unless a third one is in their subsets
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     from ..oracle import compare, duck
