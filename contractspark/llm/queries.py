@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, imatch, jaccard, line_dedup, packing, quality, secrets_scan, sharding, toxicity, url_filter
+from contractspark.llm import content_sort, decontaminate, filter_audit, imatch, jaccard, line_dedup, packing, prefix_trie, quality, secrets_scan, sharding, toxicity, url_filter
 from contractspark.llm.common import bounded_batches, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,97 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+e AS (SELECT *, doc_id > min(doc_id) OVER (PARTITION BY t) AS copy FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN copy THEN 'E' ELSE '' END) AS fails
+  FROM e LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+p AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS before FROM p, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(fails, own) AS has, fails = own AS alone,
+    len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 AND before <> '' AND fails <> '' AS earlier
+  FROM c, s),
+g AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN has OR earlier THEN 0 ELSE n END) AS kept, sum(CASE WHEN has AND NOT earlier THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN has AND earlier THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN has AND NOT earlier THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN has AND NOT earlier THEN toxic ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
+
+@registered
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = prefix_trie.conversation_paths(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(prefix_trie.with_shared_heads(paths))
+
+
+#: DuckDB has no crc32: bytes go through a table that the polynomial gives.
+ORACLE["op12_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM range(256) AS r(i))),
+own AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), body := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h FROM own, crc),
+built AS (
+  SELECT h.conv_id, list_concat(coalesce(o.turns[1:h], []), h.turns[h + 1:]) AS turns
+  FROM h LEFT JOIN own o ON o.conv_id = h.conv_id - h.conv_id % 20),
+pre AS (
+  SELECT conv_id, d, turns[1:d] AS path, len(turns) AS n_turns,
+    CASE WHEN d = 0 THEN 0 ELSE len(list_filter(string_split_regex(turns[d].body, '[\x20\x09-\x0D]+'), lambda x: x <> '')) END AS words
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+node AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n_turns = d), '') AS ends
+  FROM pre GROUP BY path, d),
+kid AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+up AS (
+  SELECT path[1:a] AS path, a AS d, sum((n - 1) * words) AS saved, sum(leaf) AS n_leaves
+  FROM (SELECT node.path, node.d, n, words, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, node.d + 1)) AS a
+        FROM node LEFT JOIN kid ON node.d = kid.d AND node.path = kid.path) GROUP BY 1, 2)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, node.n AS n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+  CAST(up.n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN up ON node.d = up.d AND node.path = up.path LEFT JOIN kid ON node.d = kid.d AND node.path = kid.path
+LEFT JOIN node above ON node.d > 0 AND above.d = node.d - 1 AND above.path = node.path[1:node.d - 1]
+"""
+
+
+@registered
+def op13_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.mark_copies(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+ORACLE["op13_content_sort"] = r"""
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+"""
