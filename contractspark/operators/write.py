@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import datetime as _dt
 import decimal as _dec
 import json
@@ -15,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.names import col
 from ..spec import ContractError, SCD2_COLUMNS, object_spec
 from ..types import plan_columns
+from .commit import replace_all, replace_table
 from .tags import column_tag_map, table_tag_map
 
 
@@ -114,37 +113,6 @@ def key_violations(df: DataFrame, keys) -> DataFrame:
             .withColumn("violation", F.when(any_null, F.lit("null_key")).otherwise(F.lit("duplicate"))))
 
 
-def write_all(spark, jobs) -> None:
-    """Replace the folders of ``(path, write)`` jobs, all or none; ``write(folder)`` makes a new one.
-
-    Every job writes to a folder beside its target (same file system, so shared as the target is); targets are swapped by
-    renames after the last job has succeeded. A job that fails leaves the targets alone.
-    """
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    tag, staged = uuid.uuid4().hex, []
-    try:
-        for path, write in jobs:
-            path = path.rstrip("/")
-            new, old = (f"{path[:path.rfind('/') + 1]}_{kind}-{path[path.rfind('/') + 1:]}-{tag}" for kind in ("staging", "replaced"))
-            staged.append((jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new), jvm.org.apache.hadoop.fs.Path(old)))
-            write(new)
-    except BaseException:
-        for path, new, _ in staged:
-            path.getFileSystem(conf).delete(new, True)
-        raise
-    for path, new, old in staged:
-        fs = path.getFileSystem(conf)
-        had = fs.exists(path)
-        if had and not fs.rename(path, old):
-            raise OSError(f"cannot set {path} aside; the new output is in {new}")
-        if not fs.rename(new, path):
-            if had:
-                fs.rename(old, path)
-            raise OSError(f"cannot put {new} in place of {path}")
-        if had:
-            fs.delete(old, True)
-
-
 def save(df: DataFrame, obj, path: str | None = None, table: str | None = None, fmt: str = "parquet",
          mode: str = "overwrite", partition_by=None) -> None:
     """Write the (already projected) frame, replacing the previous output only once the new one is complete.
@@ -161,27 +129,29 @@ def save(df: DataFrame, obj, path: str | None = None, table: str | None = None,
         w = w.partitionBy(*partition_by)
     if path is not None:
         if mode == "overwrite":
-            write_all(spark, [(path, w.save)])
+            replace_all(spark, [(path, w.save)])
         else:
             w.mode(mode).save(path)
         return
-    if mode == "overwrite" and spark.catalog.tableExists(table):
-        # the rows are made (and gates run) in a table beside it before the old rows go
-        staging = f"{table}_staging_{uuid.uuid4().hex}"
-        try:
-            w.saveAsTable(staging)
-            again = spark.table(staging).write.format(fmt).mode("overwrite")
-            (again.partitionBy(*partition_by) if partition_by else again).saveAsTable(table)
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+
+    def described(name: str) -> None:
+        props = {f"tag.{k}": v for k, v in table_tag_map(obj).items()}
+        if props:
+            body = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in props.items())
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({body})")
+        if obj.has_description and obj.description is not None:
+            spark.sql(f"COMMENT ON TABLE {name} IS {_sql_str(obj.description)}")
+
+    def made(name: str) -> None:
+        w.saveAsTable(name)
+        described(name)
+
+    if mode == "overwrite":
+        # the rows are made (and gates run) in a table beside it, which takes its place with tags and comment
+        replace_table(spark, table, made)
     else:
         w.mode(mode).saveAsTable(table)
-    props = {f"tag.{k}": v for k, v in table_tag_map(obj).items()}
-    if props:
-        body = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in props.items())
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({body})")
-    if obj.has_description and obj.description is not None:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_sql_str(obj.description)}")
+        described(table)
 
 
 def _sql_str(v) -> str:

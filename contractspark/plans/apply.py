@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.cast import rename_cast
 from ..operators.convert import convert
 from ..operators.expect import Rule, annotate, gate, observe_rules, rules, skipped_rules, summarize
-from ..operators.write import primary_key, write_all, write_frame
+from ..operators.commit import replace_all
+from ..operators.write import primary_key, write_frame
 from ..sources.load import load
 from ..spec import ContractError, ContractSpec, SCD2_COLUMNS, object_spec
 
@@ -74,17 +79,54 @@ def apply_contracts(frames: dict[str, DataFrame], contract, exclude=SCD2_COLUMNS
     return results
 
 
+def run_together(spark: SparkSession, at_once: int) -> Callable[[list], None]:
+    """A function that runs Spark jobs of independent outputs ``at_once`` at a time.
+
+    Each job has a scheduler pool of its own (they share the cluster fairly where ``spark.scheduler.mode`` is FAIR). The first
+    failure cancels the jobs under way, starts no more, waits for all threads, and is raised.
+    """
+    sc, tag, failures = spark.sparkContext, f"contract-run-{uuid.uuid4().hex}", []
+
+    def run(writes: list) -> None:
+        def one(k: int) -> None:
+            if failures:
+                return
+            sc.addJobTag(tag)
+            sc.setLocalProperty("spark.scheduler.pool", f"{tag}-{k % at_once}")
+            try:
+                writes[k]()
+            except BaseException as e:  # noqa: BLE001  raised below, after the other threads have ended
+                failures.append(e)
+            finally:
+                sc.removeJobTag(tag)
+                sc.setLocalProperty("spark.scheduler.pool", None)
+
+        with ThreadPoolExecutor(at_once) as threads:
+            running = {threads.submit(inheritable_thread_target(spark)(one), k) for k in range(len(writes))}
+            while running:
+                running = wait(running, timeout=0.2).not_done
+                if failures:  # again and again: a job may just have been planned and not yet begun
+                    sc.cancelJobsWithTag(tag)
+        if failures:
+            raise failures[0]
+
+    return run
+
+
 def run_contracts(frames: dict[str, DataFrame], contract, target_dir: str, exclude=SCD2_COLUMNS, fmt="parquet",
-                  enforce_not_null: bool = True, **kw) -> dict[str, ContractResult]:
-    """W7 + W6: write each object to ``target_dir/<object>``, all or none.
+                  enforce_not_null: bool = True, at_once: int = 8, **kw) -> dict[str, ContractResult]:
+    """W7 + W6: write each object to ``target_dir/<object>``, all or none, ``at_once`` objects at a time.
 
     Everything is planned first; then every object is written to a staging folder beside its target (gates and NOT NULL
-    checks run there); only when all jobs have succeeded do the new outputs take the old ones' places. A failed run
-    leaves every old output as it was.
+    checks run there); only when all jobs have succeeded is the run committed and the new outputs take the old ones' places
+    (``operators.commit``). A failed run leaves every old output as it was, and the first failure ends the other jobs.
     """
     results = apply_contracts(frames, contract, exclude, enforce_not_null=enforce_not_null, **kw)
     contract = contract if isinstance(contract, ContractSpec) else ContractSpec.from_dict(contract)
-    spark = next(iter(frames.values())).sparkSession if frames else None
+    if not contract.objects:
+        return results
+    spark = next(iter(frames.values())).sparkSession
     targets = [(f"{target_dir.rstrip('/')}/{o.name}", results[o.name].frame) for o in contract.objects]
-    write_all(spark, [(path, lambda to, f=frame: f.write.format(fmt).save(to)) for path, frame in targets])
+    writes = [(path, lambda to, f=frame: f.write.format(fmt).save(to)) for path, frame in targets]
+    replace_all(spark, writes, run_together(spark, min(at_once, len(writes))) if at_once > 1 else None)
     return results
