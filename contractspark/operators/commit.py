@@ -75,7 +75,9 @@ class _Files:
 
 
 def _beside(path: str, kind: str, tag: str) -> str:
+    """A hidden name in the target's folder; Spark's readers show names with ``=``, whatever they begin with."""
     folder, _, name = path.rpartition("/")
+    name = name.replace("=", "-")
     return f"{folder}/_{kind}-{name}-{tag}" if folder else f"_{kind}-{name}-{tag}"
 
 
