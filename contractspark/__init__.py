@@ -10,6 +10,7 @@ from .operators.convert import convert, conversion_expr
 from .operators.expect import (Rule, annotate, gate, observe_rules, rule_counts, rules, skipped_rules, summarize,
                                violation_mask)
 from .operators.commit import recover, recover_table
+from .operators.failures import failure_counts, observe_failures, rejected, with_failures
 from .operators.keys import key_violations_against, key_violations_in_two_steps
 from .operators.tags import (attach_tags, column_tags, merge_tags, parse_tags, table_tag_map, tag_map,
                              tags_per_entity)

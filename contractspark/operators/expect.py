@@ -11,11 +11,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import col, number_text, numbered, quote, rule_word, string_text
+from ..functions.canonical import canonical, needs_form
+from ..functions.names import col, exact_text, number_text, numbered, quote, rule_word, string_text
 from ..functions.ruletable import FIELD_TEMPLATE, MOMENTS, OPTION_RULES, REQUIRED_SUFFIX, REQUIRED_TEMPLATE
 from ..spec import ContractError, ObjectSpec, object_spec
 from ..types import final_type
@@ -37,21 +38,33 @@ class Rule:
         return ~F.coalesce(self.predicate, F.lit(True))
 
 
-# Shapes of text Spark casts to DATE / TIMESTAMP (year, year-month, date, date + time, optional zone).
-_DATE_TEXT = re.compile(r"^\s*[+-]?\d{4,6}(-\d{1,2}(-\d{1,2}([ T].*)?)?)?\s*$")
+_ISO_TIME = re.compile(r"\s*\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*")
+
+
+def _is_value(constant: Column) -> bool:
+    """Whether a constant expression has a value; Spark folds it on the driver, no job runs."""
+    return SparkSession.active().sql("SELECT 1").select(constant.isNotNull().alias("ok")).first().ok
 
 
 def _moment_bound(c, value, dtype: T.DataType | None) -> Column:
-    """The bound of a date, timestamp or time column as a value of the column's type."""
+    """The bound of a date, timestamp or time column as a value of the column's type.
+
+    A text that is no such value (``2020-02-30``) is refused here, when rules are built, and not by the first row of the job.
+    """
+    text = str(value)
     if c.logical_type == "time" and isinstance(dtype, T.TimestampType) and isinstance(c.options.get("format"), str):
-        # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction)
-        return F.to_timestamp(F.lit(str(value)), c.options["format"])
-    if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit(str(value))
-    if not _DATE_TEXT.match(str(value)):
-        # fail when the plan is built, not when the job runs (ANSI would raise on the first row)
-        raise ContractError("ODCS-OPT-001", f"bound {value!r} is not a date or timestamp")
-    return F.lit(str(value)).cast(dtype)
+        # a ``time`` column parsed with its format sits on 1970-01-01; parse the bound the same way (our correction), or as an
+        # ISO time where the format doesn't fit
+        bound = F.try_to_timestamp(F.lit(text), F.lit(c.options["format"]))
+        if _ISO_TIME.fullmatch(text):
+            bound = F.coalesce(bound, F.lit(f"1970-01-01 {text.strip()}").try_cast(dtype))
+    elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        bound = F.lit(text).try_cast(dtype)
+    else:
+        return F.lit(text)
+    if not _is_value(bound):
+        raise ContractError("ODCS-OPT-001", f"column {c.name!r}: bound {value!r} is not a date or timestamp")
+    return bound
 
 
 def _field_present(c, name: str, dtype: T.DataType | None) -> Column:
@@ -67,8 +80,9 @@ def _field_present(c, name: str, dtype: T.DataType | None) -> Column:
 def column_rules(c, dtype: T.DataType | None = None) -> list[tuple[str, str, str, Column]]:
     """``(base_name, kind, text, predicate)`` for one property: required first, then its options in the table's order.
 
-    A predicate is its text as Spark parses it, so both say the same, to the last digit of a bound. Two kinds differ: moment
-    bounds are cast to the column's type, and a field of a VARIANT is looked up by path.
+    A predicate is its text as Spark parses it, so both say the same, to the last digit of a bound. Some kinds differ: moment
+    bounds are cast to the column's type, numbers with an exponent are written out as decimals, a field of a VARIANT is looked up
+    by path, and unique items that hold maps or variants are compared in their canonical form.
     """
     q, word = quote(c.name), rule_word(c.name)
     out = []
@@ -85,7 +99,9 @@ def column_rules(c, dtype: T.DataType | None = None) -> list[tuple[str, str, str
             ref = col(c.name)
             predicate = {"min": ref >= bound, "max": ref <= bound, "exclusive_min": ref > bound, "exclusive_max": ref < bound}[r.suffix]
         else:
-            predicate = F.expr(text)
+            predicate = F.expr(text if r.literal == "string" else r.template.format(q=q, v=exact_text(value)))
+        if r.option == "uniqueItems" and needs_form(dtype):  # maps and variants can't be compared as they are
+            predicate = col(c.name).isNull() | (F.size(col(c.name)) == F.size(F.array_distinct(canonical(col(c.name), dtype))))
         out.append((f"{word}_{r.suffix}", r.suffix, text, predicate))
     if c.logical_type == "object":
         for name in map(str, c.options.get("required") or []):

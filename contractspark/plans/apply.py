@@ -14,9 +14,10 @@ from ..operators.cast import rename_cast
 from ..operators.convert import convert
 from ..operators.expect import Rule, annotate, gate, observe_rules, rules, skipped_rules, summarize
 from ..operators.commit import replace_all
+from ..operators.failures import failure_counts, rejected
 from ..operators.write import primary_key, write_frame
 from ..sources.load import load
-from ..spec import ContractError, ContractSpec, SCD2_COLUMNS, object_spec
+from ..spec import ContractError, ContractSpec, ObjectSpec, SCD2_COLUMNS, object_spec
 
 
 @dataclass
@@ -26,6 +27,7 @@ class ContractResult:
     ``frame``: the table to write (gated when ``gate_failures``; rule counts collected in flight by ``observation``).
     ``skipped``: names of rules on columns that are not there.
     ``checked``: the renamed and cast rows before the gate, for ``summary()`` and ``annotated()``.
+    ``loaded``: the source columns before any conversion, for ``failures()`` and ``rejected()``.
     """
 
     name: str
@@ -35,6 +37,9 @@ class ContractResult:
     observation: Observation | None
     key: list[str]
     skipped: list[str]
+    loaded: DataFrame
+    spec: ObjectSpec
+    exclude: frozenset
 
     def summary(self) -> DataFrame:
         return summarize(self.checked, self.rules)
@@ -42,6 +47,14 @@ class ContractResult:
     def annotated(self, column: str = "_violations") -> DataFrame:
         return annotate(self.checked, self.rules, column)
 
+    def failures(self) -> DataFrame:
+        """``(column, checked, failed)``: values that can't be converted, which a lenient run turns into NULL."""
+        return failure_counts(self.loaded, self.spec, self.exclude)
+
+    def rejected(self, column: str = "_failed") -> DataFrame:
+        """The source rows of those values, with what failed."""
+        return rejected(self.loaded, self.spec, self.exclude, column)
+
 
 def apply_contract(df: DataFrame, obj, exclude=SCD2_COLUMNS, mode: str = "strict", read_as: str = "physical",
                    gate_failures: bool = True, observe: bool = True, enforce_not_null: bool = False
@@ -63,7 +76,7 @@ def apply_contract(df: DataFrame, obj, exclude=SCD2_COLUMNS, mode: str = "strict
         out = gate(out, rule_list, message=f"contract {obj.name}: rule failed")
     out = write_frame(out, obj, exclude, enforce_not_null=enforce_not_null)
     return ContractResult(obj.name, out, checked, rule_list, obs, primary_key(obj),
-                          skipped_rules(obj, checked.columns))
+                          skipped_rules(obj, checked.columns), load(df, obj, exclude, read_as="source"), obj, frozenset(exclude))
 
 
 def apply_contracts(frames: dict[str, DataFrame], contract, exclude=SCD2_COLUMNS, **kw) -> dict[str, ContractResult]:
