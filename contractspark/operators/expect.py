@@ -38,6 +38,8 @@ class Rule:
         return ~F.coalesce(self.predicate, F.lit(True))
 
 
+#: Begins with a year: Spark also takes a time alone, as one of the current day.
+_DATED = re.compile(r"\s*[+-]?\d{4,6}(-.*)?\s*")
 _ISO_TIME = re.compile(r"\s*\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*")
 
 
@@ -59,7 +61,7 @@ def _moment_bound(c, value, dtype: T.DataType | None) -> Column:
         if _ISO_TIME.fullmatch(text):
             bound = F.coalesce(bound, F.lit(f"1970-01-01 {text.strip()}").try_cast(dtype))
     elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        bound = F.lit(text).try_cast(dtype)
+        bound = F.lit(text).try_cast(dtype) if _DATED.fullmatch(text) else F.lit(None)
     else:
         return F.lit(text)
     if not _is_value(bound):
