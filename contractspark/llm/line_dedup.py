@@ -1,15 +1,15 @@
 """Line dedup: overlapping windows of three lines, of which every later occurrence goes. DataFrame functions only.
 
 A text is cut after every newline and, as prose often has a paragraph on one line, after every sentence end followed by a
-blank (``sentences``). Each three consecutive lines (without trailing blanks) are hashed to 96 bits. Windows that occur more
-than once, anywhere, are found by a partial count; only those are joined back, so a window that a third of all rows hold
-costs one row per map task in the count and a skew-split join. The first occurrence, by (id, hash of the text, position),
+blank (``sentences``). Lines (without trailing blanks) are hashed once, and each three consecutive hashes to 96 bits. Windows
+that occur more than once, anywhere, are found by a partial count; only those are joined back, so a window that a third of all
+rows hold costs one row per map task in the count and a skew-split join. The first occurrence, by (id, hash of the text, position),
 stays; a later one covers its three lines. Covered positions of a text are merged and the lines between them are joined
 again, with their own line ends.
 
 If a later occurrence overlaps its own first one (a line repeated over and over), only the lines past the first one are
-covered, so three of a run of equal lines stay. Windows with fewer than ``least_chars`` characters never count (braces,
-one-word sentences).
+covered, so three of a run of equal lines stay. Every window counts, however short its lines are; ``least_chars`` can leave
+windows with fewer characters out.
 
 Defined cases: null and empty texts have no lines and stay as they are, as do texts of fewer than three lines; rows with
 the same id and text are one document and get the same result; null ids come first in the order; an empty table gives no
@@ -40,14 +40,21 @@ def lines_of(text: Column, sentences: bool = True) -> Column:
 
 def windows(docs: DataFrame, least_chars: int) -> DataFrame:
     """(_id, _th, pos, h1, h2) of each window of three lines; docs has _id, _th and _lines."""
-    def window(i: Column) -> Column:
-        three = [F.get("_bare", i + k) for k in range(3)]
-        return F.struct(i.alias("pos"), F.xxhash64(*three).alias("h1"), F.hash(*three).alias("h2"),
-                        sum((F.length(x) for x in three[1:]), F.length(three[0])).alias("chars"))
+    many = docs.where(F.size("_lines") >= 3).withColumn("_bare", F.transform("_lines", lambda x: F.rtrim(F.rtrim(x, F.lit("\n")))))
+    hashed = many.withColumn("_h", F.transform("_bare", lambda x: F.xxhash64(x)))
 
-    bare = docs.where(F.size("_lines") >= 3).withColumn("_bare", F.transform("_lines", lambda x: F.rtrim(F.rtrim(x, F.lit("\n")))))
-    each = bare.select("_id", "_th", F.explode(F.transform(F.sequence(F.lit(0), F.size("_bare") - 3), window)).alias("w"))
-    return each.where(F.col("w.chars") >= least_chars).select("_id", "_th", "w.pos", "w.h1", "w.h2")
+    def three(c: str, names: str) -> dict[str, Column]:
+        return {names + str(k): F.slice(c, k + 1, F.size(c)) if k else F.col(c) for k in range(3)}
+
+    cols = three("_h", "h")
+    if least_chars:
+        hashed = hashed.withColumn("_n", F.transform("_bare", lambda x: F.length(x)))
+        cols |= three("_n", "n")
+    each = hashed.withColumns(cols).select("_id", "_th", F.posexplode(F.arrays_zip(*cols)).alias("pos", "w")).where("w.h2 is not null")
+    if least_chars:
+        each = each.where(F.col("w.n0") + F.col("w.n1") + F.col("w.n2") >= least_chars)
+    lines = [F.col(f"w.h{k}") for k in range(3)]
+    return each.select("_id", "_th", "pos", F.xxhash64(*lines).alias("h1"), F.hash(*lines).alias("h2"))
 
 
 def covered_lines(docs: DataFrame, least_chars: int) -> DataFrame:
@@ -67,7 +74,7 @@ def covered_lines(docs: DataFrame, least_chars: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: bool = True,
-                least_chars: int = 40, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+                least_chars: int = 0, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with its text less the covered lines, and how many lines it had and lost."""
     base = without(docs, *names)
     text = F.col(f"`{text_col}`").cast("string")

@@ -73,8 +73,7 @@ k AS (
     rtrim(rtrim(l[pos + 3], chr(10)), ' ')] AS key FROM w),
 f AS (
   SELECT doc_id, pos, first_value(doc_id) OVER o AS d0, first_value(pos) OVER o AS p0
-  FROM k WHERE length(key[1]) + length(key[2]) + length(key[3]) >= 40
-  WINDOW o AS (PARTITION BY key ORDER BY doc_id, pos)),
+  FROM k WINDOW o AS (PARTITION BY key ORDER BY doc_id, pos)),
 c AS (
   SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = d0 THEN greatest(pos, p0 + 3) ELSE pos END, pos + 3)) AS pos
   FROM f WHERE doc_id <> d0 OR pos <> p0),

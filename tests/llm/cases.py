@@ -76,7 +76,7 @@ def contamination(docs: list[tuple[int, str | None]], items: list[tuple[object,
     return out
 
 
-def without_repeated_lines(docs: list[tuple[int, str]], least_chars: int = 40) -> dict[int, str]:
+def without_repeated_lines(docs: list[tuple[int, str]], least_chars: int = 0) -> dict[int, str]:
     """Texts less later occurrences of three-line windows, in order of id."""
     cut = {i: [x for x in re.split(r"(?<=\n)|(?<=[.!?] )", t) if x] for i, t in docs}
     first, gone = {}, defaultdict(set)
