@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractspark.llm.common import held_out, without
+from contractspark.llm.common import held_out, per_process, without
+from contractspark.llm.decontaminate import expand
 
-#: Words a worker remembers the bucket of; only a speed matter.
-_MEMORY = 200_000
+#: Words that a worker process remembers the buckets of: about 250 bytes each.
+_MEMORY = 500_000
 WORD = re.compile(r"[^\W_]+")
 #: Lengths of the character sequences that count as terms beside whole words.
 GRAMS = (4, 5, 6)
@@ -51,15 +53,19 @@ class FactorizationMachine:
 
 
 def _row_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[starts[1:]] - total[starts[:-1]]
+    """Sums of ``values[starts[r]:starts[r + 1]]``; 0 for rows without any."""
+    total = np.zeros((len(starts) - 1, *values.shape[1:]), values.dtype)
+    some = np.flatnonzero(np.diff(starts))
+    if len(some):
+        total[some] = np.add.reduceat(values, starts[some], axis=0)
+    return total
 
 
 def _margins(bias, weights, factors, buckets, starts):
     counts = np.maximum(np.diff(starts), 1)
     v = factors.take(buckets, axis=0)
     sums = _row_sums(v, starts)
-    squares = _row_sums((v * v).sum(axis=1), starts)
+    squares = _row_sums(np.einsum("ij,ij->i", v, v), starts)
     pairs = 0.5 * ((sums * sums).sum(axis=1) - squares) / counts
     return bias + _row_sums(weights[buckets], starts) + pairs
 
@@ -73,35 +79,86 @@ def word_terms(word: str) -> set[str]:
     return {marked, *(marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1))}
 
 
-def term_buckets(texts: list[str | None], bits: int, memory: dict[str, np.ndarray],
-                 used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed terms of each text, one after another, and where each text's begin.
+class TermMemory:
+    """The term buckets of words seen so far, one after another in one array; only a speed matter.
 
     ``used`` (by bucket) leaves out the buckets whose parameters are all 0.
     """
-    mask, found, starts, hit = (1 << bits) - 1, [], [0], np.zeros(1 << bits, bool)
+
+    def __init__(self, bits: int, used: np.ndarray | None = None, most: int = _MEMORY):
+        self.mask, self.used, self.most = (1 << bits) - 1, used, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.flat, self.end = np.zeros(1024, np.int64), np.zeros(8192, np.int32), 0
+
+    def learn(self, words: list[str]) -> None:
+        crc = zlib.crc32
+        for w in words:
+            own = {crc(t.encode("utf-8", "replace")) & self.mask for t in word_terms(w)}
+            own = [x for x in own if self.used is None or self.used[x]]
+            at = len(self.place)
+            if at + 2 > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            while self.end + len(own) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.end:self.end + len(own)] = own
+            self.end += len(own)
+            self.starts[at + 1] = self.end
+            self.place[w] = at
+
+    def buckets(self, words: set[str]) -> np.ndarray:
+        """The buckets of the words' terms, with repeats."""
+        unseen = [w for w in words if w not in self.place]
+        if unseen:
+            if self.place and len(self.place) + len(unseen) > self.most:
+                self.clear()
+                unseen = list(words)
+            self.learn(unseen)
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        first = self.starts[at]
+        return self.flat[expand(first, self.starts[at + 1] - first)]
+
+
+def term_buckets(texts: list[str | None], bits: int, memory: TermMemory | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed terms of each text, one after another, and where each text's begin."""
+    memory = memory or TermMemory(bits)
+    found, starts, hit = [], [0], np.zeros(1 << bits, bool)
     for text in texts:
-        words = []
-        for w in set(WORD.findall((text or "").lower())):
-            got = memory.get(w)
-            if got is None:
-                own = {zlib.crc32(t.encode("utf-8", "replace")) & mask for t in word_terms(w)}
-                got = np.array([x for x in own if used is None or used[x]], np.int64)
-                if len(memory) >= _MEMORY:
-                    memory.clear()
-                memory[w] = got
-            words.append(got)
-        if words:
-            hit[np.concatenate(words)] = True
+        hit[memory.buckets(set(WORD.findall((text or "").lower())))] = True
         found.append(np.flatnonzero(hit))
         hit[found[-1]] = False
         starts.append(starts[-1] + len(found[-1]))
     return (np.concatenate(found) if found else np.zeros(0, np.int64)), np.array(starts, np.int64)
 
 
-def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int = 8, epochs: int = 30,
+class _Batch:
+    """The rows of a minibatch as a sparse matrix over its own buckets, laid out once for sums by row and by bucket."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, rows: np.ndarray):
+        lengths = starts[rows + 1] - starts[rows]
+        idx = flat[expand(starts[rows], lengths)]
+        self.rows, self.counts = rows, np.maximum(lengths, 1)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        self.buckets, at = np.unique(idx, return_inverse=True)
+        self.at = at.astype(np.int32)
+        order = np.argsort(self.at, kind="stable")
+        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)[order]
+        self.first = np.searchsorted(self.at[order], np.arange(len(self.buckets)))
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the values of each row's buckets."""
+        return _row_sums(values.take(self.at, axis=0), self.starts)
+
+    def by_bucket(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the values of the rows that have a bucket."""
+        return np.add.reduceat(values.take(self.owner, axis=0), self.first, axis=0) if len(self.first) else values[:0]
+
+
+def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int = 8, epochs: int = 12,
         rate: float = 0.3, l2: float = 1e-3, seed: int = 7, rare: int = 5, z: float = 3.0) -> FactorizationMachine:
-    """AdaGrad on the logistic loss, in minibatches of rows.
+    """AdaGrad on the logistic loss, in minibatches of rows that are dealt once and taken in another order in each epoch.
 
     Buckets in fewer than ``rare`` training rows keep weight and factors of 0: they would only be learnt by heart. The
     others all have factors, as a term that is neutral alone may be toxic beside another one; those whose share of toxic
@@ -113,33 +170,27 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int
     w, v = np.zeros(size), rng.normal(0, 0.05, (size, factors)).astype(np.float32)
     bias, seen, additive = float(np.log(base / (1 - base))), np.zeros(size, bool), np.zeros(size, bool)
     if 0 < y.sum() < len(y):
-        flat, starts = term_buckets(texts, bits, {})
+        flat, starts = term_buckets(texts, bits)
         rows_with, toxic_with = np.bincount(flat, minlength=size), np.bincount(flat, np.repeat(y, np.diff(starts)), size)
         off = (toxic_with - base * rows_with) / np.sqrt(np.maximum(rows_with * base * (1 - base), 1e-9))
         seen = rows_with >= rare
         additive = seen & (np.abs(off) >= z)
         flat, starts = flat[seen[flat]], np.concatenate([[0], np.cumsum(seen[flat])])[starts]
         gw, gv, gb = np.full(size, 1e-3), np.full((size, factors), 1e-3, np.float32), 1e-3
-        hit, at = np.zeros(size, bool), np.zeros(size, np.int64)
+        batches = [_Batch(flat, starts, rows) for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128))]
         for _ in range(epochs):
-            for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128)):
-                lengths = starts[rows + 1] - starts[rows]
-                own = np.concatenate([[0], np.cumsum(lengths)])
-                idx = flat[np.repeat(starts[rows] - own[:-1], lengths) + np.arange(own[-1])]
-                hit[idx] = True
-                uniq = np.flatnonzero(hit)
-                hit[uniq], at[uniq] = False, np.arange(len(uniq))
-                x = np.zeros((len(rows), len(uniq)), np.float32)  # the batch's rows over its own buckets
-                x[np.repeat(np.arange(len(rows)), lengths), at[idx]] = 1
-                vu, counts = v.take(uniq, axis=0), np.maximum(lengths, 1)
-                got = x @ np.column_stack([vu, w[uniq], (vu * vu).sum(axis=1)]).astype(np.float32)
+            for k in rng.permutation(len(batches)):
+                batch = batches[k]
+                uniq, counts, n = batch.buckets, batch.counts, len(batch.rows)
+                vu = v.take(uniq, axis=0)
+                got = batch.by_row(np.column_stack([vu, w[uniq], np.einsum("ij,ij->i", vu, vu)]).astype(np.float32))
                 sums = got[:, :factors].astype(np.float64)
                 margin = bias + got[:, factors] + 0.5 * ((sums * sums).sum(axis=1) - got[:, factors + 1]) / counts
-                err = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[rows]) / len(rows)
+                err = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[batch.rows]) / n
                 scaled = err / counts
-                back = (np.column_stack([sums * scaled[:, None], err, scaled]).T.astype(np.float32) @ x).T
-                dw = (back[:, factors] + l2 * w[uniq] / len(rows)) * additive[uniq]
-                dv = back[:, :factors] + (np.float32(l2 / len(rows)) - back[:, factors + 1:]) * vu
+                back = batch.by_bucket(np.column_stack([sums * scaled[:, None], err, scaled]).astype(np.float32))
+                dw = (back[:, factors] + l2 * w[uniq] / n) * additive[uniq]
+                dv = back[:, :factors] + (np.float32(l2 / n) - back[:, factors + 1:]) * vu
                 gw[uniq] += dw * dw
                 own_gv = gv.take(uniq, axis=0) + dv * dv
                 gv[uniq] = own_gv
@@ -184,18 +235,21 @@ def score(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text
           keep: list[str] | None = None, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the score as double and the prediction as int."""
     sent = docs.sparkSession.sparkContext.broadcast((model.bits, model.bias, model.weights, model.factors))
-    own = "__text"
+    own, run = "__text", uuid.uuid4().hex
     src = docs.withColumn(own, F.col(f"`{text_col}`").cast("string"))
     src = without(src, *names) if keep is None else src.select(*[F.col(f"`{c}`") for c in keep], own)
     carried, at = src.schema.fields[:-1], len(src.columns) - 1
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, memory = FactorizationMachine(*sent.value), {}
-        used = (m.weights != 0) | (m.factors != 0).any(axis=1)
+        m = FactorizationMachine(*sent.value)
+        kept = per_process(("toxicity",), dict)  # one memory a worker, of the model that it scores with now
+        if kept.get("run") != run:
+            kept.update(run=run, memory=TermMemory(m.bits, (m.weights != 0) | (m.factors != 0).any(axis=1)))
+        memory = kept["memory"]
         for batch in batches:
             for start in range(0, batch.num_rows, 64):  # bounded rows of factors in memory
                 part = batch.slice(start, 64)
-                s = m.score(*term_buckets(part.column(at).to_pylist(), m.bits, memory, used))
+                s = m.score(*term_buckets(part.column(at).to_pylist(), m.bits, memory))
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
                                                  [*(f.name for f in carried), *names])
 

@@ -50,10 +50,29 @@ def test_factorization_machine_learns_a_pair():
         labels.append(a * b)
     m = toxicity.fit(texts, labels, z=0.0, epochs=40)
     used = (m.weights != 0) | (m.factors != 0).any(axis=1)
-    s = m.score(*toxicity.term_buckets(["insulting somegroup w1", "insulting nobody w1", "friendly somegroup w1", "friendly nobody w1"], m.bits, {}, used))
+    s = m.score(*toxicity.term_buckets(["insulting somegroup w1", "insulting nobody w1", "friendly somegroup w1", "friendly nobody w1"], m.bits, toxicity.TermMemory(m.bits, used)))
     assert s[0] > 0.5 > max(s[1:])
 
 
+def test_margins_equal_pair_by_pair_sums():
+    """The margin is the bias, the weights of a text's terms, and each pair's product of factors by the number of terms."""
+    rng = np.random.default_rng(5)
+    bits, w, v = 8, rng.normal(size=256).astype(np.float32), rng.normal(size=(256, 4)).astype(np.float32)
+    w[::3], v[::3] = 0, 0
+    m = toxicity.FactorizationMachine(bits, 0.3, w, v)
+    texts = ["one two three", "", None, "one one one", cases.prose(3, 200), "Übel über alles", "x"]
+    for memory in (None, toxicity.TermMemory(bits, (w != 0) | (v != 0).any(axis=1), most=3)):  # with and without the zero terms
+        got = m.score(*toxicity.term_buckets(texts, bits, memory))
+        for text, s in zip(texts, got):
+            words = set(toxicity.WORD.findall((text or "").lower()))
+            terms = sorted({zlib.crc32(t.encode()) & 255 for word in words for t in toxicity.word_terms(word)})
+            if memory is not None:
+                terms = [t for t in terms if w[t] or v[t].any()]
+            pairs = sum(float(v[a].astype(float) @ v[b].astype(float)) for k, a in enumerate(terms) for b in terms[k + 1:])
+            margin = 0.3 + sum(float(w[t]) for t in terms) + pairs / max(1, len(terms))
+            assert abs(s - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))) < 1e-4
+
+
 @pytest.mark.parametrize("label", [lambda a, b: a * b, lambda a, b: a ^ b])
 def test_factorization_machine_learns_pairs_by_default(label):
     """With the defaults, both together, and one or the other only: in the latter no word alone says anything."""
@@ -65,7 +84,7 @@ def test_factorization_machine_learns_pairs_by_default(label):
     m = toxicity.fit(texts, labels)
     used = (m.weights != 0) | (m.factors != 0).any(axis=1)
     four = [(a, b) for a in (0, 1) for b in (0, 1)]
-    s = m.score(*toxicity.term_buckets([f"{['friendly', 'insulting'][a]} {['nobody', 'somegroup'][b]} w1" for a, b in four], m.bits, {}, used))
+    s = m.score(*toxicity.term_buckets([f"{['friendly', 'insulting'][a]} {['nobody', 'somegroup'][b]} w1" for a, b in four], m.bits, toxicity.TermMemory(m.bits, used)))
     assert [x > 0.5 for x in s] == [label(a, b) == 1 for a, b in four]
 
 
@@ -137,3 +156,11 @@ def test_pipeline_stages_take_odd_rows(spark, tmp_path):
                 assert out.columns == frame.columns, name
             n = out.count()
             assert n == 0 if frame is not docs else n > 0, name
+
+
+def test_pipeline_keeps_one_row_of_each_group_of_copies(spark):
+    """Repeated ids, null ids, and two texts under one id: exact rows."""
+    a, b, c = (cases.prose(k, 60) for k in (1, 2, 3))
+    docs = [(1, a), (1, a), (2, a), (None, a), (2, b), (3, b + "one"), (4, c), (4, c), (5, ""), (5, ""), (6, None), (None, "few words")]
+    out = corpus_pipeline.drop_near_copies(spark, cases.documents(spark, docs), SF_SMALL)
+    assert sorted((str(r.doc_id), r.text or "") for r in out.collect()) == sorted([("1", a), ("2", b), ("4", c), ("5", ""), ("5", ""), ("6", ""), ("None", "few words")])
