@@ -86,4 +86,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)

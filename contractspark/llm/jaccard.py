@@ -10,20 +10,27 @@ entries are bounded away before they are formed:
   counts depend on a row's size level; a row also signs for the level below if a smaller partner may be there. (A row with
   so many empty blocks that the agreeing ones might all be empty signs for an empty block as well; others needn't.)
 * Signatures are dealt by range of (signature, class), which splits a hot one over tasks; only those that two classes share
-  go on.
-* Every row of a group with one signature is first multiplied with the group's least row, which is linear in the group. A group
-  that then still holds several components is open. Open rows go by family (rows that signatures connect) and blocks of one
+  go on. Rows that link share all agreeing blocks that aren't empty, at least ``need`` of them (all blocks with columns, less k).
+  A row with fewer shared signatures than it needs links nothing and leaves; that may leave others with too few, so this is
+  done twice.
+* A group of one signature is represented by its lead, the row of the group whose signatures reach most rows (of a text and
+  its edited copies that is the text). A row is first multiplied with the one lead that it shares most signatures with, then
+  with its other leads outside its component if it shares enough with them. Rows are sent once per lead, in parts of bounded
+  size, each with the lead's row once.
+* Groups that then still hold several components are open: pairs in them may link although neither links to the lead. Rows
+  with enough signatures in groups of several components go by family (rows that open signatures connect) and blocks of one
   size class and bounded bytes; two blocks meet unless their sizes are too far apart or both belong to one component, which
-  needs no more links. A task holds two blocks and
-  accumulates the overlaps of their rows over all shared columns, discards what the bound excludes, and sends on only links
-  that join two components.
+  needs no more links. A task holds two blocks and accumulates the overlaps of their rows over all shared columns, discards
+  what the bound excludes, and sends on only links that join two components. This last step is quadratic in the bytes of an
+  open family.
 
-Overlaps are counts over the full rows; components come from label propagation by joins.
+Overlaps are counts over the full rows; components come from label propagation by joins. Intermediate tables are deleted as
+soon as nothing reads them.
 
 Defined cases: null or blank text has no shingles, size 0 and is its own component; every row gives a row of the result,
-repeated ones too; rows with one id are one node, so what links to either of their texts is one component; a row without
-id links nothing, but takes the component of rows with its shingle set (null without any); an empty table gives no rows.
-The result has columns of its own only.
+repeated ones too; the texts of one id are rows of their own, but a row's component is named by the least id among its rows;
+a row without id links nothing, but takes the component of rows with its shingle set (null without any); an empty table gives
+no rows. The result has columns of its own and the columns ``keep``.
 """
 
 from __future__ import annotations
@@ -39,14 +46,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractspark.llm.common import blank_words, stored
+from contractspark.llm.common import blank_words, forget, stored
 from contractspark.llm.decontaminate import expand
 
 _MEMORY = 400_000
 #: Ids (with class keys) of candidates that are broadcast to fetch their texts; with more, the texts are shuffled.
 BROADCAST_IDS = 300_000
-#: Bytes of rows in a batch of pairs, and in one block of the product.
-PRODUCT_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
+#: Bytes of rows in a batch of a star, and in one block of the product; rows that share a copy of their lead's row.
+PRODUCT_BYTES, BLOCK_BYTES, STAR_ROWS = 8 << 20, 4 << 20, 512
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
 
 
@@ -112,8 +119,9 @@ class Levels:
         return [i for i in range(self.level(least), own + 1)] if size else []
 
 
-def signatures(row: np.ndarray, levels: Levels) -> np.ndarray:
-    out = []
+def signatures(row: np.ndarray, levels: Levels) -> tuple[np.ndarray, int]:
+    """A row's signatures, and how many of them any row that links shares with it at least."""
+    out, need = [], []
     for level in levels.of(len(row)):
         n, k = levels.blocks(level)
         if k == 0:
@@ -124,10 +132,11 @@ def signatures(row: np.ndarray, levels: Levels) -> np.ndarray:
         at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         sums = np.add.reduceat(mixed(row[order], 3), at)
         out.append(mixed(sums + own[at].astype(np.uint64) * _ODD[1], 100 + level))
+        need.append(max(1, len(at) - k))  # n - k blocks agree, of which n - len(at) may be empty
         if n - len(at) >= n - k:  # the agreeing blocks might all be empty
             empty = np.setdiff1d(np.arange(n), own[at]).astype(np.uint64)
             out.append(mixed(empty * _ODD[1], 100 + level))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+    return (np.unique(np.concatenate(out)), min(need)) if out else (np.zeros(0, np.uint64), 0)
 
 
 def class_key(row: np.ndarray) -> tuple[int, int]:
@@ -159,29 +168,33 @@ class _Join:
         self.parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def described(self) -> DataFrame:
-        """(_id, n_shingles, c1, c2, sigs) of every row; a task gives a class's signatures once."""
+        """The columns but the text, n_shingles, c1, c2, need and sigs of every row; a task gives a class's signatures once."""
         n, num, den = self.n, self.num, self.den
+        carried = [f for f in self.docs.schema.fields if f.name != "_text"]
+        src = self.docs.select(*[f.name for f in carried], "_text")
 
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingler, levels, seen = Shingler(n), Levels(num, den), set()
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
-                    sizes, keys, sigs = [], [], []
-                    for text in (x.as_py() for x in part.column(1)):
+                    sizes, keys, sigs, needs = [], [], [], []
+                    for text in (x.as_py() for x in part.column(len(carried))):
                         row = shingler.row(text)
                         key = class_key(row)
+                        own, need = (np.zeros(0, np.uint64), 0) if key in seen else signatures(row, levels)
                         sizes.append(len(row))
                         keys.append(key)
-                        sigs.append(np.zeros(0, np.uint64) if key in seen else signatures(row, levels))
+                        sigs.append(own)
+                        needs.append(need)
                         seen.add(key)
                     ends = np.cumsum([0] + [len(s) for s in sigs]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sigs).view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), lists],
-                                                     ["_id", "n_shingles", "c1", "c2", "sigs"])
+                    longs = [pa.array(x, pa.int64()) for x in (sizes, [k[0] for k in keys], [k[1] for k in keys], needs)]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:len(carried)], *longs, lists], [*(f.name for f in carried), *names, "sigs"])
 
-        longs = [T.StructField(c, T.LongType()) for c in ("n_shingles", "c1", "c2")]
-        return self.docs.mapInArrow(in_task, T.StructType([T.StructField("_id", self.id), *longs, T.StructField("sigs", T.ArrayType(T.LongType()))]))
+        names = ("n_shingles", "c1", "c2", "need")
+        return src.mapInArrow(in_task, T.StructType([*carried, *(T.StructField(c, T.LongType()) for c in names), T.StructField("sigs", T.ArrayType(T.LongType()))]))
 
     def shared_signatures(self, described: DataFrame) -> DataFrame:
         """(sig, c1) of the signatures of two classes or more; of those at a task's edges perhaps of one only."""
@@ -219,42 +232,54 @@ class _Join:
         return dealt.mapInArrow(in_task, "sig long, c1 long")
 
     def rows(self, reps: DataFrame) -> DataFrame:
-        """(rep, row): the matrix rows of these classes (rep, c1, c2), once for each in a task."""
+        """(node, row): the matrix rows of these classes (node, rep, c1, c2); a task may give one again."""
         n = self.n
 
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingler, seen = Shingler(n), set()
             for batch in batches:
                 got = []
-                for rep, c1, c2, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                    if (rep, c1, c2) not in seen and class_key(row := shingler.row(text)) == (c1, c2):
-                        seen.add((rep, c1, c2))
-                        got.append((rep, row.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], batch.column(0).type), pa.array([g[1] for g in got], pa.binary())], ["rep", "row"])
+                for node, c1, c2, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                    if node not in seen and class_key(row := shingler.row(text)) == (c1, c2):
+                        seen.add(node)
+                        got.append((node, row.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["node", "row"])
 
         small = reps.count() <= BROADCAST_IDS  # else the join is by shuffle, with the same rows
-        texts = self.docs.join(F.broadcast(reps) if small else reps, F.col("_id") == F.col("rep")).select("rep", "c1", "c2", "_text")
-        return texts.mapInArrow(in_task, T.StructType([T.StructField("rep", self.id), T.StructField("row", T.BinaryType())]))
+        texts = self.docs.join(F.broadcast(reps) if small else reps, F.col("_id") == F.col("rep")).select("node", "c1", "c2", "_text")
+        return texts.mapInArrow(in_task, "node long, row binary")
 
     def linked(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
-        """Of (a, b), the pairs that link."""
+        """Of (a, b), the pairs that link. A row ``b`` is sent once for each ``a``, the row ``a`` once for each part of them."""
         num, den = self.num, self.den
 
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lead, lead_row = None, None
             for batch in batches:
-                ends = np.cumsum([len(x) + len(y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]) // PRODUCT_BYTES
+                ends = np.cumsum([len(x) for x in batch.column(2).to_pylist()]) // PRODUCT_BYTES
                 edges = np.concatenate([[0], np.flatnonzero(np.diff(ends)) + 1, [batch.num_rows]]) if batch.num_rows else [0]
                 for at, to in zip(edges[:-1], edges[1:]):
-                    part = batch.slice(at, to - at)
-                    left, right = ([np.frombuffer(x.as_py(), np.uint64) for x in part.column(k)] for k in (2, 3))
+                    a, b, left, right = [], [], [], []
+                    for x, y, row in zip(*(batch.column(k).slice(at, to - at).to_pylist() for k in range(3))):
+                        row = np.frombuffer(row, np.uint64)
+                        if x == y:
+                            lead, lead_row = x, row
+                        elif lead == x and (not b or (a[-1], b[-1]) != (x, y)):
+                            a.append(x)
+                            b.append(y)
+                            left.append(lead_row)
+                            right.append(row)
                     both = overlaps(left, right)
                     union = np.array([len(x) + len(y) for x, y in zip(left, right)], np.int64) - both
                     keep = pa.array(den * both >= num * union)
-                    yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()).filter(keep), pa.array(b, pa.int64()).filter(keep)], ["a", "b"])
 
-        right = pairs.join(rows.select(F.col("rep").alias("b"), F.col("row").alias("rb")), "b")
-        both = right.join(rows.select(F.col("rep").alias("a"), F.col("row").alias("ra")), "a").select("a", "b", "ra", "rb")
-        return both.mapInArrow(in_task, T.StructType([T.StructField("a", self.id), T.StructField("b", self.id)]))
+        parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).alias("parts"))
+        dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+        leads = parts.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        sent = dealt.union(leads).join(rows, F.col("b") == F.col("node")).select("a", "b", "row", "part")
+        stars = sent.repartition(self.parts, "a", "part").sortWithinPartitions("a", "part", F.col("a") != F.col("b"), "b")
+        return stars.select("a", "b", "row").mapInArrow(in_task, "a long, b long")
 
 
 def linked_blocks(num: int, den: int, block: pd.DataFrame) -> pd.DataFrame:
@@ -299,62 +324,104 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
     label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp"))
-    label = stored(label, "labels")
+    last = label = stored(label, "labels")
     for _ in range(max_rounds):
         near = both.join(label, both.b == label.node).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = label.join(near, "node").select("node", "comp", F.least("comp", "near").alias("low"))
         up = label.select(F.col("node").alias("low"), F.col("comp").alias("top"))
         new = stored(step.join(up, "low", "left").select("node", F.least("low", "top").alias("new"), "comp"), "labels")
         changed = new.where(F.col("new") < F.col("comp")).limit(1).count()
-        label = new.select("node", F.col("new").alias("comp"))
+        forget(last)
+        last, label = new, new.select("node", F.col("new").alias("comp"))
         if not changed:
+            forget(both)
             return label
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """(id, n_shingles, component_id) for every row of ``docs``; two rows link at Jaccard ``num / den`` or more."""
-    src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+def enough(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """(sig, node) of the nodes that have as many signatures as they need, in groups of two such nodes or more."""
+    able = members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(reps, "node").where("n >= need").select("node")
+    left = members.join(able, "node", "left_semi")
+    groups = left.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig")
+    return left.join(groups, "sig", "left_semi")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100,
+                    keep: list[str] | None = None) -> DataFrame:
+    """(id, n_shingles, component_id and the columns ``keep``) for every row of ``docs``; two rows link at Jaccard ``num / den`` or more."""
+    kept = keep or []
+    src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(kept)])
     join = _Join(src, n, num, den)
     described = stored(join.described(), "signatures")
-    every = described.drop("sigs")
-    reps = every.where("n_shingles > 0 and _id is not null").groupBy("c1", "c2").agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("size"))
-    reps = stored(reps, "reps")
-    known = stored(join.shared_signatures(described).join(reps, "c1").select("sig", "rep", "size"), "members").distinct()
-    groups = known.groupBy("sig").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
-    members = stored(known.join(groups, "sig").select("sig", "rep", "size", "lead"), "members")
-    rows = stored(join.rows(reps.join(members.select("rep").distinct(), "rep").select("rep", "c1", "c2")), "rows")
-
-    fits = (F.least("size", "lead_size") * den >= F.greatest("size", "lead_size") * num)
-    sizes = members.select(F.col("rep").alias("lead"), F.col("size").alias("lead_size")).distinct()
-    pairs = members.where("rep > lead").select("lead", "rep", "size").distinct().join(sizes, "lead").where(fits).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-    edges = stored(join.linked(pairs, rows), "links")
-    comp = components(edges).withColumnRenamed("node", "rep")
-    # open groups: those that without their least row, which has met all others, are not one component
-    rest = members.where("rep > lead").join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    open_ = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("sig")
-    left = stored(rest.join(open_, "sig").select("rep", "size", "comp", "lead").distinct(), "open")
-    family = components(left.select(F.col("lead").alias("a"), F.col("rep").alias("b"))).select(F.col("node").alias("rep"), F.col("comp").alias("fam"))
+    every = stored(described.drop("sigs", "need"), "classes")
+    classes = described.where("n_shingles > 0 and _id is not null").groupBy("c1", "c2").agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("size"), F.max("need").alias("need"))
+    reps = stored(classes.withColumn("node", F.monotonically_increasing_id()), "reps")  # written once: a node's number is fixed
+    nodes = reps.select("node", "size", "need")
+    shared = stored(join.shared_signatures(described).join(reps, "c1").select("sig", "node").distinct(), "members")
+    forget(described)
+    once = stored(enough(shared, nodes), "members")
+    forget(shared)
+    twice = stored(enough(once, nodes), "members")
+    forget(once)
+    reach = twice.join(twice.groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "sig").groupBy("node").agg(F.sum("n").alias("reach"))
+    leads = twice.join(reach, "node").groupBy("sig").agg(F.max(F.struct("reach", (-F.col("node")).alias("last"))).alias("best"))
+    members = stored(twice.join(leads.select("sig", (-F.col("best")["last"]).alias("lead")), "sig"), "members")
+    forget(twice)
+    rows = stored(join.rows(reps.join(members.select("node").distinct(), "node").select("node", "rep", "c1", "c2")), "rows")
+
+    # stars: each row with the lead it shares most with, then with the other leads it shares enough with
+    lead = nodes.select(F.col("node").alias("lead"), F.col("size").alias("lead_size"), F.col("need").alias("lead_need"))
+    fits = (F.least("size", "lead_size") * den >= F.greatest("size", "lead_size") * num) & (F.col("shared") >= F.greatest("need", "lead_need"))
+    counted = members.where("node <> lead").groupBy("lead", "node").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = stored(counted.join(nodes, "node").join(lead, "lead").where(fits).select("lead", "node", "shared"), "pairs")
+    best = pairs.groupBy("node").agg(F.max(F.struct("shared", (-F.col("lead")).alias("least"))).alias("best"))
+    first = best.select((-F.col("best")["least"]).alias("a"), F.col("node").alias("b"))
+    edges = stored(join.linked(first, rows).distinct(), "links")
+    above = edges.select(F.col("b").alias("a"), F.col("a").alias("above"))  # a row has one link here at most: two steps up it
+    tops = edges.join(above, "a", "left").select("b", F.coalesce("above", "a").alias("top"))
+    of = lambda node, name: tops.select(F.col("b").alias(node), F.col("top").alias(name))
+    apart = pairs.join(of("lead", "p"), "lead", "left").join(of("node", "q"), "node", "left").where(F.coalesce("p", "lead") != F.coalesce("q", "node"))
+    others = apart.select(F.col("lead").alias("a"), F.col("node").alias("b")).join(first, ["a", "b"], "left_anti")
+    more = stored(join.linked(others, rows), "links")
+    comp = components(edges.union(more))
+    forget(pairs)
+
+    # open groups: those whose rows without the lead are not one component
+    rest = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                    F.min(F.when(F.col("node") != F.col("lead"), F.col("comp"))).alias("rest_low"), F.max(F.when(F.col("node") != F.col("lead"), F.col("comp"))).alias("rest_high"))
+    mixed = stored(rest.join(mixed.where("low < high").withColumn("open", F.col("rest_low") < F.col("rest_high")).drop("low", "high"), "sig"), "mixed")
+    able = mixed.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes, "node").where("n >= need").select("node", "size")
+    untied = stored(mixed.where(F.col("open") & (F.col("node") != F.col("lead"))).join(able, "node").select("node", "size", "comp", "sig").distinct(), "open")
+    groups = untied.groupBy("sig").agg(F.min("node").alias("head"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    left = stored(untied.join(groups.select("sig", "head"), "sig").select("node", "size", "comp", "head").distinct(), "open")
+    forget(members, mixed, untied)
+    family = components(left.select(F.col("head").alias("a"), F.col("node").alias("b"))).select("node", F.col("comp").alias("fam"))
     # sizes of rows that link are within num / den of each other: in one size class or two neighbouring ones
     step = math.log(1.01 * den / num)
-    own = left.select("rep", "size", "comp").distinct().join(family, "rep").withColumn("cls", F.floor(F.log("size") / step))
+    own = left.select("node", "size", "comp").distinct().join(family, "node").withColumn("cls", F.floor(F.log("size") / step))
     # blocks: a component of more bytes than one has blocks of its own, the others of a family and class share theirs
     parts = own.groupBy("fam", "cls", "comp").agg((F.sum("size") * 8).alias("bytes"))
     alone = F.col("bytes") > BLOCK_BYTES
-    shared = parts.where(~alone).groupBy("fam", "cls").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
-    where = parts.join(shared, ["fam", "cls"], "left").select("fam", "cls", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
-                                                            F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
-    dealt = own.join(where, ["fam", "cls", "comp"]).select("fam", "cls", "comp", "rep", F.concat_ws("/", "cls", "pool", F.pmod(F.xxhash64("rep"), "n")).alias("blk"))
+    pooled = parts.where(~alone).groupBy("fam", "cls").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
+    where = parts.join(pooled, ["fam", "cls"], "left").select("fam", "cls", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
+                                                              F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
+    dealt = own.join(where, ["fam", "cls", "comp"]).select("fam", "cls", "comp", "node", F.concat_ws("/", "cls", "pool", F.pmod(F.xxhash64("node"), "n")).alias("blk"))
     dealt = stored(dealt, "blocks")
     blocks = dealt.groupBy("fam", "cls", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     other = blocks.select("fam", F.col("cls").alias("cls_j"), F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
     meet = blocks.withColumnRenamed("blk", "i").join(other, "fam").where("i <= j and abs(cls - cls_j) <= 1 and (low < high or low_j < high_j or low != low_j)")
     meet = meet.select("fam", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
-    both = meet.join(dealt, ["fam", "blk"]).join(rows, "rep").select("fam", "i", "j", "blk", "rep", "comp", "row")
-    found = both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema)
-    comp = components(stored(edges.union(found), "links"))
-
-    named = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", F.coalesce("comp", "rep").alias("comp"))
+    both = meet.join(dealt, ["fam", "blk"]).join(rows.dropDuplicates(["node"]), "node").select("fam", "i", "j", "blk", F.col("node").alias("rep"), "comp", "row")
+    found = stored(both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema), "links")
+    forget(left, rows, dealt)
+    comp = components(edges.union(more).union(found))
+    forget(edges, more, found)
+
+    classed = reps.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = classed.join(classed.groupBy("comp").agg(F.min("rep").alias("least")), "comp").select("c1", "c2", "least")
     out = every.join(named, ["c1", "c2"], "left")
-    alone = F.col("n_shingles") == 0
-    return out.select(F.col("_id").alias(id_col), "n_shingles", F.when(alone, F.col("_id")).otherwise(F.coalesce("comp", "_id")).alias("component_id"))
+    nothing = F.col("n_shingles") == 0
+    return out.select(F.col("_id").alias(id_col), "n_shingles", F.when(nothing, F.col("_id")).otherwise(F.coalesce("least", "_id")).alias("component_id"),
+                      *[F.col(f"_k{i}").alias(c) for i, c in enumerate(kept)])
