@@ -32,11 +32,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest id."""
+    """One row of each component of near copies (five-word shingles, similarity 0.8 or more).
+
+    The row with the smallest id stays (null ids last, then by hash of the text), of repeated rows one. Rows are told apart by id
+    and text, so another text under a dropped row's id stays; texts without words are no copies.
+    """
     bounded_batches(spark)
-    found = jaccard.near_duplicates(docs, n=5, num=80, den=100)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumn("_hash", F.xxhash64("text"))
+    found = jaccard.near_duplicates(keyed, n=5, num=80, den=100, keep=["_hash"]).where("n_shingles > 0 and component_id is not null")
+    rows = stored(found.groupBy("component_id", "doc_id", "_hash").agg(F.count(F.lit(1)).alias("n")), "near")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_hash")
+    groups = rows.groupBy("component_id").agg(F.min(order).alias("first"), F.sum("n").alias("rows")).where("rows > 1").select("component_id", "first")
+    copies = stored(rows.join(groups, "component_id").select(F.col("doc_id").alias("_of"), F.col("_hash").alias("_text"), (order == F.col("first")).alias("_stays"),
+                                                             (F.col("n") > 1).alias("_repeated")), "copies")
+    told = F.broadcast(copies) if copies.count() <= jaccard.BROADCAST_IDS else copies  # beyond that many by shuffle, with the same rows
+    known = keyed.join(told, F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("_hash") == F.col("_text")), "left")
+    out = known.where("_stays is null or _stays and not _repeated")
+    if copies.where("_stays and _repeated").limit(1).count():
+        out = out.union(known.where("_stays and _repeated").dropDuplicates(["doc_id", "_hash"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
