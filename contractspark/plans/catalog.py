@@ -18,13 +18,15 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import types as ty
 from ..functions import ddl
 from ..functions.names import OUTPUT_NAME_CHARS, number_text, quote_col, rule_word_col, string_text_col
+from ..operators.commit import recover, replace_all
 from ..functions.ruletable import FIELD_TEMPLATE, OPTION_RULES, REQUIRED_SUFFIX, REQUIRED_TEMPLATE
 from ..spec import REQUIRED_CONTRACT_FIELDS, SCD2_COLUMNS, ContractError
 
@@ -44,45 +46,77 @@ DECODED_DDL = ("n_docs int, is_mapping boolean, missing array<string>, error str
 # ---- L4: contract files as rows ----------------------------------------------------------------------------
 
 
+#: A contract file of more bytes than this is a fault of that file.
+MOST_BYTES = 64 << 20
+
+
 def scan_contracts(spark: SparkSession, directory: str) -> DataFrame:
-    """``(path, prefix, text)``: every ``*.yaml`` / ``*.yml`` under ``directory`` (recursive).
+    """``(path, prefix, text, fault, digest)``: every ``*.yaml`` / ``*.yml`` under ``directory`` (recursive).
 
-    ``prefix`` is the path relative to ``directory`` without the last extension (``marketing/campaign``). Files whose names
-    start with ``_`` or ``.`` count too (Spark's text reader would leave them out). A directory that does not exist gives an
-    empty frame.
+    ``prefix`` is the path relative to ``directory`` without the last extension (``marketing/campaign``). A file that can't be
+    read or isn't UTF-8 has no text but a ``fault``; ``digest`` is the hash of its bytes. Files whose names start with ``_``
+    or ``.`` count too; Spark's readers leave them out. Hidden folders are given to the reader as roots of their own; files with
+    hidden names, which it refuses even by name, are opened in tasks. The driver sees names only. A directory that does not
+    exist gives an empty frame.
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(directory)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return spark.createDataFrame([], "path string, prefix string, text string")
+        return spark.createDataFrame([], "path string, prefix string, text string, fault string, digest string")
     base = fs.makeQualified(root).toUri().getPath().rstrip("/")  # decoded, absolute, without the scheme
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{yaml,yml}").load(directory)
-    shown = files.select("path", F.decode("content", "UTF-8").alias("text"))
-    hidden = _hidden_files(spark, fs, root)
-    if hidden:
-        shown = shown.unionByName(spark.createDataFrame(hidden, "path string, text string"))
+    folders, names = _hidden(fs, root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{yaml,yml}")
+    files = reader.load([directory, *folders]).select("path", F.when(F.col("length") <= MOST_BYTES, F.col("content")).alias("content"),
+                                                      F.when(F.col("length") > MOST_BYTES, F.lit("the file is too large")).alias("fault"))
+    if names:
+        paths = spark.createDataFrame([(n,) for n in names], "path string").repartition(min(len(names), 1000))
+        files = files.unionByName(paths.mapInArrow(_opened, "path string, content binary, fault string"))
     plain = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
     rel = F.substring(plain, len(base) + 2, 1 << 30)
-    return shown.select("path", F.regexp_replace(rel, r"\.[^./]*$", "").alias("prefix"), "text")
-
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    fault = F.coalesce("fault", F.when(text.isNull(), F.lit("the file is not UTF-8")))
+    return files.select("path", F.regexp_replace(rel, r"\.[^./]*$", "").alias("prefix"), text.alias("text"), fault.alias("fault"),
+                        F.sha2(F.coalesce("content", F.lit(b"")), 256).alias("digest"))
 
-def _hidden_files(spark: SparkSession, fs, root) -> list[tuple[str, str]]:
-    """(path, text) of contract files that Spark's readers skip because their name or folder starts with ``_`` or ``.``.
 
-    No reader takes them even by name, so these few are read one by one with the file system's own calls.
-    """
-    found, walk, base = [], fs.listFiles(root, True), len(fs.makeQualified(root).toString().rstrip("/"))
+def _hidden(fs, root) -> tuple[list[str], list[str]]:
+    """Folders with hidden names that hold contract files, and contract files with hidden names."""
+    folders, names, walk, base = set(), [], fs.listFiles(root, True), len(fs.makeQualified(root).toString().rstrip("/"))
     while walk.hasNext():
-        path = walk.next().getPath()
-        rel = path.toString()[base:]
-        if rel.endswith((".yaml", ".yml")) and re.search(r"/[_.]", rel):
-            stream = fs.open(path)
+        path = walk.next().getPath().toString()
+        if not path.endswith((".yaml", ".yml")) or not re.search(r"/[_.]", path[base:]):
+            continue
+        if re.search(r"/[_.][^/]*$", path):
+            names.append(path)
+        else:
+            last = re.match(r"^(.*/[_.][^/]*)/", path)  # the innermost hidden folder: below it nothing is hidden
+            folders.add(last[1])
+    return [re.sub(r"([{}\[\]*?\\])", r"\\\1", f) for f in sorted(folders)], names
+
+
+def _opened(batches):
+    """(path, content, fault) of files, opened where the task runs."""
+    from pyarrow import RecordBatch, array, binary, string
+    from pyarrow import fs as files
+
+    for batch in batches:
+        out = []
+        for path in batch.column(0).to_pylist():
             try:
-                found.append((path.toString(), spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-            finally:
-                stream.close()
-    return found
+                scheme, rest = re.match(r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(.*)$", path).groups()
+                if scheme in (None, "file"):
+                    where, name = files.LocalFileSystem(), re.sub(r"^//[^/]*", "", rest)
+                else:
+                    authority = re.match(r"^(//[^/]*)?(/.*)$", rest)
+                    where, top = files.FileSystem.from_uri(f"{scheme}:{authority[1] or '//'}/")
+                    name = top.rstrip("/") + authority[2]
+                with where.open_input_stream(name, compression=None) as f:
+                    content = f.read(MOST_BYTES + 1)
+                out.append((path, content, None) if len(content) <= MOST_BYTES else (path, None, "the file is too large"))
+            except Exception as e:  # noqa: BLE001  a file that can't be read is that file's fault
+                out.append((path, None, f"the file can't be read: {e}"))
+        yield RecordBatch.from_arrays([array([r[0] for r in out], string()), array([r[1] for r in out], binary()), array([r[2] for r in out], string())], ["path", "content", "fault"])
 
 
 # ---- L5: decode each file (per-row helper) and explode to one row per property ----------------------------------
@@ -147,17 +181,20 @@ def _flat_one(obj_name: str, p: dict, parent: str | None, ordinal: int, depth: i
         yield from _flat_one(obj_name, _mapping(p["items"], f"items of {path!r}"), path, 0, depth + 1, True)
 
 
-def decode_text(text: str) -> str:
+def decode_text(text: str | None, fault: str | None = None) -> str:
     """One contract file → JSON of its top-level fields, its objects and its flattened properties.
 
-    Whatever is wrong with a file goes into its own ``error``, so one bad contract never ends the job of an estate.
+    ``fault`` says why there is no text. Whatever is wrong with a file goes into its own ``error``, so one bad contract never ends the job of an estate.
     """
     import yaml
 
     res = {"n_docs": 0, "is_mapping": False, "missing": [], "error": None, "id": None, "version": None, "tags": [],
            "objects": [], "columns": "[]"}
+    if fault is not None:
+        return json.dumps(res | {"error": f"[ODCS-IO-001] {fault}"})
     try:
-        docs = [d for d in yaml.safe_load_all(text) if d is not None]
+        # the loader on the C library, where it is installed, reads the same several times as fast
+        docs = [d for d in yaml.load_all(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)) if d is not None]
         res["n_docs"] = len(docs)
         if len(docs) == 1 and isinstance(docs[0], dict):
             doc = docs[0]
@@ -182,17 +219,43 @@ def decode_text(text: str) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def _decode(texts: pd.Series) -> pd.Series:
-    return texts.map(decode_text)
+def _decode(texts: pd.Series, faults: pd.Series) -> pd.Series:
+    return pd.Series([decode_text(t, f) for t, f in zip(texts, faults)], dtype=object)
 
 
 def decode_contracts(contracts: DataFrame) -> DataFrame:
-    """``(path, prefix, text)`` → one row per file with the decoded fields (K3 inputs, objects, properties JSON).
+    """``(path, prefix, text)``, perhaps with ``fault`` and ``digest`` → one row per file with the decoded fields (K3 inputs,
+    objects, properties JSON).
 
-    The decoder is an Arrow-batched pandas UDF over one row per file, so files are decoded in parallel.
+    The decoder is an Arrow-batched pandas UDF over one row per file. Files are dealt over all cores first: a table of many
+    contracts may lie in one split.
     """
-    return contracts.select("path", "prefix", F.from_json(_decode("text"), DECODED_DDL).alias("d")) \
-                    .select("path", "prefix", "d.*")
+    spark, more = contracts.sparkSession, [c for c in ("digest",) if c in contracts.columns]
+    fault = F.col("fault") if "fault" in contracts.columns else F.lit(None).cast("string")
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = contracts.select("path", "prefix", "text", fault.alias("fault"), *more).repartition(parts)
+    return dealt.select("path", "prefix", *more, F.from_json(_decode("text", "fault"), DECODED_DDL).alias("d")).select("path", "prefix", *more, "d.*")
+
+
+def refresh_decoded(spark: SparkSession, directory: str, store: str) -> dict[str, int]:
+    """Bring the decoded contracts in the folder ``store`` up to date with the files; ``{decoded, kept, removed}``.
+
+    Files are read and hashed; only those whose path or bytes are new are decoded, the others' rows are taken from the store. Rows
+    of files that are gone go. The new version takes the old one's place when complete (``operators.commit``).
+    """
+    found = scan_contracts(spark, directory)
+    recover(spark, store.rstrip("/").rpartition("/")[0] or ".")
+    try:
+        old = spark.read.parquet(store)
+    except AnalysisException:  # nothing stored yet
+        old = decode_contracts(found.limit(0))
+    same, seen = ["path", "digest"], Observation("decoded")
+    kept = old.join(found.select(*same), same, "left_semi").select(*old.columns)
+    fresh = found.join(old.select(*same), same, "left_anti").observe(seen, F.count(F.lit(1)).alias("n"))
+    before = old.count()
+    replace_all(spark, [(store, kept.unionByName(decode_contracts(fresh).select(*old.columns)).write.save)])
+    after = spark.read.parquet(store).count()
+    return {"decoded": seen.get["n"], "kept": after - seen.get["n"], "removed": before - (after - seen.get["n"])}
 
 
 def column_catalog(decoded: DataFrame) -> DataFrame:
@@ -269,7 +332,8 @@ def _assembled(nodes: Column) -> Column:
     One pass: a row takes the texts of its children, which have all gone before it, and leaves its own for its parent.
     """
     def step(state: Column, x: Column) -> Column:
-        kids = F.filter(state["open"], lambda k: k["parent"] == x["path"])
+        may = F.coalesce(x["has_properties"], F.lit(False)) | F.coalesce(x["has_items"], F.lit(False)) | x["shape"]
+        kids = F.when(may, F.filter(state["open"], lambda k: k["parent"] == x["path"])).otherwise(F.array().cast(_OPEN))  # a leaf looks for none
         fields = F.transform(F.array_sort(F.transform(F.filter(kids, lambda k: ~k["is_items"]), lambda k: F.struct(k["ordinal"], k["name"], k["text"]))),
                              lambda k: F.concat(k["name"], F.lit(":"), k["text"]))
         item = F.array_max(F.transform(F.filter(kids, lambda k: k["is_items"]), lambda k: k["text"]))
@@ -280,7 +344,7 @@ def _assembled(nodes: Column) -> Column:
                 .otherwise(F.concat(F.lit("ARRAY<"), item, F.lit(">"))))
         own = F.array(F.struct(x["parent_path"].alias("parent"), x["ordinal"].alias("ordinal"), x["name"].alias("name"),
                                x["is_items"].alias("is_items"), text.alias("text")))
-        return F.struct(F.concat(F.filter(state["open"], lambda k: ~k["parent"].eqNullSafe(x["path"])), own).cast(_OPEN).alias("open"),
+        return F.struct(F.concat(F.when(may, F.filter(state["open"], lambda k: ~k["parent"].eqNullSafe(x["path"]))).otherwise(state["open"]), own).cast(_OPEN).alias("open"),
                         F.concat(state["done"], F.array(F.struct(text.alias("text"), n.alias("n"), (bad & x["shape"]).alias("bad")))).cast(_DONE).alias("done"))
 
     start = F.struct(F.array().cast(_OPEN).alias("open"), F.array().cast(_DONE).alias("done"))

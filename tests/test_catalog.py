@@ -101,6 +101,12 @@ def test_scan_takes_hidden_names_and_odd_folders(spark, tmp_path, monkeypatch):
         (root / name).write_text(HEAD)
     want = ["_draft", ".hid", "plain one", "_in/b"]
     assert sorted(r.prefix for r in cat.scan_contracts(spark, str(root)).collect()) == sorted(want)
+    (root / "_in" / "deep" / ".x" / "y").mkdir(parents=True)
+    (root / "_in" / "deep" / ".x" / "y" / "c.yaml").write_text(HEAD)
+    (root / "_in" / "deep" / "_d.yml").write_text(HEAD)
+    want += ["_in/deep/.x/y/c", "_in/deep/_d"]
+    scanned = cat.scan_contracts(spark, str(root)).collect()
+    assert sorted(r.prefix for r in scanned) == sorted(want) and {r.text for r in scanned} == {HEAD} and {r.fault for r in scanned} == {None}
     assert sorted(r.prefix for r in cat.scan_contracts(spark, f"file://{str(root).replace(' ', '%20')}").collect() or []) in (sorted(want), [])
 
 
@@ -155,3 +161,40 @@ def test_collisions_across_contracts(spark):
     names = spark.createDataFrame([("a b", "t"), ("a_b", "t"), ("c", "u")], "contract string, object string")
     assert cat.name_collisions(names).count() == 0
     assert [(r.contract, r.slug, r.kind) for r in cat.name_collisions(names, across=True).collect()] == [("a_b", "t", "collision")]
+
+
+def test_a_file_that_is_not_utf8_is_an_error_row(spark, tmp_path):
+    (tmp_path / "latin.yaml").write_bytes((HEAD + "name: caf\xe9\n").encode("latin-1"))
+    (tmp_path / "_latin.yaml").write_bytes((HEAD + "name: caf\xe9\n").encode("latin-1"))
+    (tmp_path / "bom.yaml").write_bytes((HEAD + "schema: [{name: t, properties: [{name: caf\u00e9, logicalType: string, physicalType: STRING}]}]").encode("utf-8-sig"))
+    decoded = cat.decode_contracts(cat.scan_contracts(spark, str(tmp_path)))
+    assert sorted((r.path.rsplit("/", 1)[-1], r.code) for r in cat.contract_errors(decoded).collect()) == [("_latin.yaml", "ODCS-IO-001"), ("latin.yaml", "ODCS-IO-001")]
+    assert [r.name for r in cat.column_catalog(decoded).collect()] == ["caf\u00e9"]
+
+
+def test_only_changed_files_are_decoded(spark, tmp_path):
+    root, store = tmp_path / "contracts", str(tmp_path / "store")
+    root.mkdir()
+    text = lambda k, t: HEAD + f"schema: [{{name: t{k}, properties: [{{name: a, logicalType: string, physicalType: {t}}}]}}]"
+    for k in range(1000):
+        (root / f"c{k}.yaml").write_text(text(k, "STRING"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    full = lambda: cat.decode_contracts(cat.scan_contracts(spark, str(root)))
+    assert cat.refresh_decoded(spark, str(root), store) == {"decoded": 1000, "kept": 0, "removed": 0}
+    (root / "c7.yaml").write_text(text(7, "INT"))
+    assert cat.refresh_decoded(spark, str(root), store) == {"decoded": 1, "kept": 999, "removed": 1}
+    assert rows(spark.read.parquet(store).select(*full().columns)) == rows(full())
+    (root / "c8.yaml").unlink()
+    (root / "c9.yaml").rename(root / "_c9.yaml")
+    assert cat.refresh_decoded(spark, str(root), store) == {"decoded": 1, "kept": 998, "removed": 2}
+    assert rows(spark.read.parquet(store).select(*full().columns)) == rows(full())
+    assert cat.refresh_decoded(spark, str(root), store) == {"decoded": 0, "kept": 999, "removed": 0}
+
+
+def test_wide_structs_assemble(spark):
+    import json
+
+    obj = {"name": "t", "properties": [{"name": "w", "logicalType": "object", "physicalType": "STRING", "properties": [{"name": f"c{k}", "logicalType": "integer", "physicalType": "INT"} for k in range(2000)]}]}
+    decoded = cat.decode_contracts(spark.createDataFrame([("x.yaml", "x", HEAD + "schema: [" + json.dumps(obj) + "]")], "path string, prefix string, text string"))
+    got = {r.path: (r.type_text, r.n_children) for r in cat.resolve_types(cat.column_catalog(decoded)).collect()}
+    assert got["w"] == ("STRUCT<" + ",".join(f"c{k}:INT" for k in range(2000)) + ">", 2000) and len(got) == 2001
