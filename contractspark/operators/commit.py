@@ -49,6 +49,10 @@ class _Files:
         fs, p = self.at(path)
         fs.delete(p, True)
 
+    def size(self, path: str) -> int:
+        fs, p = self.at(path)
+        return fs.getContentSummary(p).getLength()
+
     def write(self, path: str, text: str) -> None:
         fs, p = self.at(path)
         out = fs.create(p, False)

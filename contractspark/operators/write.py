@@ -14,6 +14,7 @@ from ..functions.names import col
 from ..spec import ContractError, SCD2_COLUMNS, object_spec
 from ..types import plan_columns
 from .commit import replace_all, replace_table
+from .sized import sized
 from .tags import column_tag_map, table_tag_map
 
 
@@ -114,9 +115,12 @@ def key_violations(df: DataFrame, keys) -> DataFrame:
 
 
 def save(df: DataFrame, obj, path: str | None = None, table: str | None = None, fmt: str = "parquet",
-         mode: str = "overwrite", partition_by=None) -> None:
+         mode: str = "overwrite", partition_by=None, file_bytes: int | None = None, scratch: str | None = None) -> None:
     """Write the (already projected) frame, replacing the previous output only once the new one is complete.
 
+    With ``file_bytes`` the rows are dealt first so that files have about that size (``operators.sized``); ``scratch`` is a shared
+    folder for the sample that this measures, by default the one beside ``path``.
+
     ``table`` creates a catalog table with the table description as comment and the merged table tags as table
     properties (``tag.<key>``); ``path`` writes files. Exactly one of the two.
     """
@@ -124,6 +128,10 @@ def save(df: DataFrame, obj, path: str | None = None, table: str | None = None,
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
     spark = df.sparkSession
+    if file_bytes:
+        if not (scratch or path):
+            raise ValueError("file_bytes needs scratch= where there is no path=")
+        df = sized(df, scratch or path.rstrip("/").rpartition("/")[0] or ".", file_bytes, partition_by or (), fmt)
     w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,11 +1,17 @@
-"""Queries for values that the rules and conversions must get right: failed conversions as data, small steps, unique nested items."""
+"""Queries for values that the rules and conversions must get right (failed conversions as data, small steps, unique nested items),
+and for what is written: comments, tags, files of one size."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators.failures import failure_counts, observe_failures, rejected
+from ..operators.write import save, write_frame
 from ..spec import ObjectSpec
+from . import catalog as cat
 from . import tables as tb
 from .table_queries import query, staged, summary_of, summary_sql, table, work_dir
 
@@ -93,3 +99,82 @@ def expect_unique_items_nested(spark, d):
     maps = F.array(pair("k", "z"), F.map_from_arrays(F.array(F.lit("z"), F.lit("k")), F.array(F.lit(2), mod)))
     o = ObjectSpec.from_dict(NESTED)
     return summary_of(staged(rows.select(docs.alias("docs"), maps.alias("maps")), o), o)
+
+
+def _described(spark, d):
+    """A contract object of a column per nation: its comment is the nation's, its tags the region's."""
+    rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).orderBy("n_nationkey").collect()  # a contract: one row a column
+    return ObjectSpec.from_dict({"name": "t", "description": "of nations", "tags": [f"n:{len(rows)}"], "properties": [
+        {"name": f"c{r.n_nationkey}", "logicalType": "integer", "physicalType": "BIGINT", "description": r.n_name, "tags": [f"region:{r.r_name}", "word"]} for r in rows]})
+
+
+@query("write_comments", "SELECT 'c' || n_nationkey AS column_name, n_name AS comment FROM nation")
+def write_comments(spark, d):
+    """Comments of the columns as the catalog has them after a write."""
+    o = _described(spark, d)
+    rows = table(spark, d, "customer").select(*[F.col("c_custkey").alias(c.name) for c in o.columns])
+    name = "w5_" + uuid.uuid4().hex
+    try:
+        save(write_frame(rows, o), o, table=name)
+        found = [(r.col_name, r.comment) for r in spark.sql(f"DESCRIBE TABLE {name}").collect()]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(found, "column_name string, comment string")
+
+
+@query("tags_attached", "SELECT 'c' || n_nationkey AS column_name, 'region' AS key, r_name AS value FROM nation JOIN region ON n_regionkey = r_regionkey "
+       "UNION ALL SELECT 'c' || n_nationkey, 'word', '' FROM nation UNION ALL SELECT NULL, 'n', CAST(count(*) AS VARCHAR) FROM nation")
+def tags_attached(spark, d):
+    """Column tags in the written files' schema, table tags as the table's properties."""
+    o = _described(spark, d)
+    rows = table(spark, d, "customer").select(*[F.col("c_custkey").alias(c.name) for c in o.columns])
+    name = "g4_" + uuid.uuid4().hex
+    try:
+        save(write_frame(rows, o), o, table=name)
+        found = [(f.name, k, v) for f in spark.table(name).schema.fields for k, v in json.loads(f.metadata["tags"]).items()]
+        found += [(None, r.key[4:], r.value) for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect() if r.key.startswith("tag.")]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(found, "column_name string, key string, value string")
+
+
+@query("write_sized", "SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem")
+def write_sized(spark, d):
+    """Lineitem partitioned by flag, written to files of about 256 KB and read back."""
+    folder = work_dir(spark, "write_sized")
+    o = ObjectSpec.from_dict({"name": "t", "properties": [tb._p("l_returnflag", "string", "STRING"), tb._p("l_orderkey", "integer", "BIGINT"),
+                                                          tb._p("l_linenumber", "integer", "BIGINT"), tb._p("l_extendedprice", "number", "DOUBLE")]})
+    save(write_frame(table(spark, d, "lineitem"), o), o, path=folder, partition_by=["l_returnflag"], file_bytes=256 << 10)
+    return spark.read.parquet(folder).select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+_BRAND = "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER)"
+
+
+@query("catalog_scan",
+       f"SELECT DISTINCT (CASE WHEN p_size % 5 = 0 THEN '_' ELSE '' END) || 'b' || (p_size % 3) || '/' || (CASE WHEN {_BRAND} % 4 = 0 THEN '.' ELSE '' END) || 'p' || {_BRAND} || 'x' || p_size AS prefix, "
+       "p_size % 7 = 0 AS is_fault, p_size % 7 <> 0 AS has_text FROM part")
+def catalog_scan(spark, d):
+    """L4: a contract file for every brand and size, written by tasks: some in hidden folders, some with hidden names, some not
+    UTF-8; then scanned."""
+    folder = work_dir(spark, "catalog_scan")
+    brand, size = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int"), F.col("p_size").cast("int")
+    hidden = lambda c, mark: F.when(c, F.lit(mark)).otherwise(F.lit(""))
+    name = F.concat(hidden(size % 5 == 0, "_"), F.lit("b"), (size % 3).cast("string"), F.lit("/"), hidden(brand % 4 == 0, "."), F.lit("p"), brand.cast("string"), F.lit("x"), size.cast("string"))
+    text = F.concat(F.lit("id: x\n# "), F.col("p_brand"), F.lit("\n"))
+    rows = table(spark, d, "part").select(name.alias("prefix"), F.concat(text.cast("binary"), F.when(size % 7 == 0, F.lit(b"caf\xe9")).otherwise(F.lit(b""))).alias("content")).distinct()
+
+    def written(batches):
+        from pyarrow import fs as files
+
+        for batch in batches:
+            for prefix, content in zip(*(c.to_pylist() for c in batch.columns)):
+                where, name = (files.LocalFileSystem(), folder.removeprefix("file:")) if "://" not in folder.removeprefix("file://") else files.FileSystem.from_uri(folder)
+                path = f"{name.replace('//', '/')}/{prefix}.yaml"
+                where.create_dir(path.rpartition("/")[0])
+                with where.open_output_stream(path) as f:
+                    f.write(content)
+            yield batch.select(["prefix"])
+
+    rows.mapInArrow(written, "prefix string").count()
+    return cat.scan_contracts(spark, folder).select("prefix", F.col("fault").isNotNull().alias("is_fault"), F.col("text").isNotNull().alias("has_text"))
