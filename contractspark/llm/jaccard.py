@@ -317,26 +317,41 @@ def linked_blocks(num: int, den: int, block: pd.DataFrame) -> pd.DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, comp): the smallest node of each node's component, over edges (a, b) of one orderable type.
+    """(node, comp): a node of each node's component, the same for all of its nodes, over edges (a, b) of longs.
 
-    Each round every node takes the least label among its own and its neighbours' and then its label's label, so paths
-    shorten by half; a round is a join and a partial minimum, written to the shared folder.
+    Each round every node points to its least neighbour if that is less than itself; two steps along such pointers it meets a node
+    that stands for it. Edges then join those, and edges within one go, so rounds work on ever fewer edges. What stands for
+    what is kept and followed at the end. Every round is joins and partial minima, written to the shared folder.
     """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    label = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp"))
-    last = label = stored(label, "labels")
-    for _ in range(max_rounds):
-        near = both.join(label, both.b == label.node).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = label.join(near, "node").select("node", "comp", F.least("comp", "near").alias("low"))
-        up = label.select(F.col("node").alias("low"), F.col("comp").alias("top"))
-        new = stored(step.join(up, "low", "left").select("node", F.least("low", "top").alias("new"), "comp"), "labels")
-        changed = new.where(F.col("new") < F.col("comp")).limit(1).count()
-        forget(last)
-        last, label = new, new.select("node", F.col("new").alias("comp"))
-        if not changed:
-            forget(both)
-            return label
-    raise RuntimeError("components did not settle")
+    def between(pairs: DataFrame) -> DataFrame:
+        return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    left = stored(between(edges), "edges")
+    steps: list[DataFrame] = []
+    while left.limit(1).count():
+        if len(steps) == max_rounds:
+            raise RuntimeError("components did not settle")
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("least")).union(left.select("b", "a"))
+        point = stored(ends.groupBy("node").agg(F.least(F.col("node"), F.min("least")).alias("top")), "pointers")
+        for _ in range(2):
+            up = point.select(F.col("node").alias("top"), F.col("top").alias("over"))
+            before, point = point, stored(point.join(up, "top").select("node", F.col("over").alias("top")), "pointers")
+            forget(before)
+        steps.append(point)
+        of = lambda c: point.select(F.col("node").alias(c), F.col("top").alias(f"top_{c}"))
+        now = left.join(of("a"), "a").join(of("b"), "b").select(F.col("top_a").alias("a"), F.col("top_b").alias("b"))
+        before, left = left, stored(between(now), "edges")
+        forget(before)
+    forget(left)
+    alone = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("comp"))
+    if not steps:
+        return alone.distinct()
+    label = steps[0].withColumnRenamed("top", "comp")
+    for step in steps[1:]:
+        label = label.join(step.withColumnRenamed("node", "comp"), "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))
+    label = stored(label, "labels")
+    forget(*steps)
+    return label
 
 
 def enough(members: DataFrame, reps: DataFrame) -> DataFrame:
