@@ -1,13 +1,14 @@
 """Sharding by histogram sort: splitters refined by exact byte counts, then one exchange.
 
-Documents are ordered by (hash of the text, hash of the id), so equal texts are neighbours. Blocks of the order, several to
-a shard, should have equal bytes. In each round every open splitter gets a few probe keys between the bounds known so far;
-all tasks count rows and bytes between probes (small partial counts that are summed); bounds close in on the wanted count
-until within ``tolerance`` of a block. Every splitter is first sought between texts (so that a group of equal texts stays
-whole); only if no boundary between texts is near enough does it cut into a group by the hash of the id. Counts below the
-final splitters are exact, so slots are known before rows move: one exchange by block, a sort in the block, no second pass.
+Documents are ordered by (hash of the text, hash of the id), so equal texts are neighbours. Shards of the order should have
+equal bytes. In each round every open splitter gets a few probe keys between the bounds known so far; all tasks count rows and
+bytes between probes (small partial counts that are summed); bounds close in on the wanted count until within ``tolerance``
+of a shard. Every splitter is first sought between texts (so that a group of equal texts stays whole); only if no boundary
+between texts is near enough does it cut into a group by the hash of the id.
 
-A block is a bounded share of the data (``block_bytes``); a hot text is spread over as many blocks as its bytes need.
+Then rows move once, into as many key ranges as the bytes need (``part_bytes``; a hot text is cut by the hash of the id), and
+are sorted there. A row's place among the rows of its shard in its range is counted on the way; the counts per range and shard,
+one or two rows a range, give the places before it. No task holds a shard.
 
 Defined cases: null text has no bytes (size 1 with the separator) and the checksum of the empty text; null ids and repeated
 rows are rows of their own (rows with the same id and text share a key, and the ties among them fall in any order, all with
@@ -17,15 +18,19 @@ carried; ``size``, ``shard`` and ``slot`` replace columns of those names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from contractspark.llm.common import stored, without
+from contractspark.llm.common import forget, stored, without
+from contractspark.llm.ranges import even_splitters, sampled, shard_of
 
 _TEXT = 1 << 64  # a key is hash of the text * _TEXT + hash of id and text, both as unsigned numbers in signed order
 _SIGN = 1 << 63
@@ -109,20 +114,42 @@ def find_splitters(keys: DataFrame, blocks: int, slack: float, most_probes: int
     return sorted(final.values())
 
 
+def _numbered(carried: int):
+    """The task over a sorted range: rows of (carried columns, part, shard, size) with their place among those of the shard."""
+    def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
+        for batch in batches:
+            shard = batch.column(carried + 1).to_numpy()
+            place = np.zeros(len(shard), np.int64)
+            for s in np.unique(shard).tolist():
+                own = np.flatnonzero(shard == s)
+                place[own] = seen.get(s, 0) + np.arange(len(own))
+                seen[s] = seen.get(s, 0) + len(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, "_place"])
+
+    return in_task
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = 16, *, id_col: str = "doc_id", text_col: str = "text", tolerance: float = 0.005,
-                   block_bytes: int = 16 << 20, most_blocks: int = 4096, keep: list[str] | None = None) -> DataFrame:
+                   part_bytes: int = 128 << 20, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``size``, ``shard`` and ``slot``; shards differ in bytes by about ``tolerance``."""
     text = F.col(f"`{text_col}`").cast("string")
-    own = {"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.col(f"`{id_col}`").cast("string"), text), "size": text_size(text)}
+    own = {"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.col(f"`{id_col}`").cast("string"), text), "_size": text_size(text)}
     base = without(docs, "size", "shard", "slot")
-    keyed = base.select(*[F.col(f"`{c}`") for c in (base.columns if keep is None else keep)], *[v.alias(k) for k, v in own.items()])
-    keys = stored(keyed.select(*own), "keys")
-    total = keys.agg(F.sum("size")).first()[0] or 0
-    each = max(1, min(-(-total // (shards * block_bytes)), most_blocks // shards))
-    splitters = find_splitters(keys, shards * each, tolerance * total / shards)
-    before = [0, *(rows for _, rows in splitters)]
-    first_slot = [n - before[b // each * each] for b, n in enumerate(before)]
-    dealt = keyed.withColumn("_block", block_of([k for k, _ in splitters])("_k1", "_k2"))
-    place = F.row_number().over(Window.partitionBy("_block").orderBy("_k1", "_k2")) - 1
-    out = dealt.withColumn("slot", place.cast("long") + F.element_at(F.lit(first_slot).cast("array<bigint>"), F.col("_block") + 1))
-    return out.withColumn("shard", F.floor(F.col("_block") / each).cast("int")).drop("_k1", "_k2", "_block")
+    names = base.columns if keep is None else keep
+    keyed = base.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(names)], *[v.alias(k) for k, v in own.items()])
+    keys = stored(keyed.select("_k1", "_k2", F.col("_size").alias("size")), "keys")
+    rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    splitters = find_splitters(keys, shards, tolerance * total / shards)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // part_bytes))
+    sample = sampled(keys.select("_k1", "_k2", "size"), 64 * parts, rows)
+    ranges = even_splitters([k[:2] for k in sample], [k[2] for k in sample], parts)
+    forget(keys)
+    dealt = keyed.withColumn("_part", shard_of(ranges, F.col("_k1"), F.col("_k2"))).withColumn("_shard", block_of([k for k, _ in splitters])("_k1", "_k2"))
+    moved = dealt.repartitionById(parts, F.col("_part")).sortWithinPartitions("_k1", "_k2").select(*[f"_c{k}" for k in range(len(names))], "_part", "_shard", "_size")
+    placed = stored(moved.mapInArrow(_numbered(len(names)), T.StructType([*moved.schema.fields, T.StructField("_place", T.LongType())])), "placed")
+    counts = placed.groupBy("_shard", "_part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_shard").orderBy("_part")) - F.col("n")
+    starts = counts.select("_shard", "_part", before.alias("_start"))  # a row per range, and one more per splitter
+    return placed.join(F.broadcast(starts), ["_shard", "_part"]).select(
+        *[F.col(f"_c{k}").alias(c) for k, c in enumerate(names)], F.col("_size").alias("size"), F.col("_shard").alias("shard"), (F.col("_start") + F.col("_place")).alias("slot"))
