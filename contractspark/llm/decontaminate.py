@@ -10,8 +10,9 @@ What keeps the index small without losing an occurrence: words in no phrase are
 phrase words that is shorter than the shortest phrase, as no phrase fits in it; neighbouring separators are one.
 Separators sort by position, so a suffix is never compared beyond its run and copies of documents cost nothing.
 
-The benchmark is a query set: it is read in blocks of at most ``block_chars`` characters (documented bound), each block
-a broadcast and a pass over the documents; the hits of the passes are merged. Nothing is shuffled.
+The benchmark is a query set: it is read in blocks of about ``block_chars`` characters (documented bound), each block a
+broadcast and a pass over the documents; the hits of the passes are merged. With several blocks each pass is stored and its
+broadcast released before the next block is collected, so driver and tasks hold one block. Nothing is shuffled.
 
 Defined cases: null or empty text has no words and no hits; null item texts and ids are no items; items with one id are
 one item; repeated rows are judged each; an empty table of either kind gives rows without hits or no rows. The columns
@@ -20,16 +21,17 @@ of ``documents`` are carried; the result column ``contamination`` replaces one o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractspark.llm.common import alnum_words, without
+from contractspark.llm.common import alnum_words, forget, stored, without
 
 RESULT = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -215,14 +217,13 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of about ``block_chars`` characters at most; only one block at a time is collected."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> tuple[int, Callable[[int], list[tuple[str, str]]]]:
+    """How many blocks of about ``block_chars`` characters the items make, and a function that collects one of them."""
     items = (benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
              .where("item is not null and text is not null"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars)
-    for k in range(n):
-        yield [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()]
+    n = max(1, -(-total // block_chars))
+    return n, lambda k: [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, text_col: str = "text", item_col: str = "item_id",
@@ -235,7 +236,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, text_col: s
     carried = src.schema.fields[:-1]
     found_type = T.StructField(result, RESULT)
 
-    def one_pass(df: DataFrame, phrases: Phrases | None) -> DataFrame:
+    def one_pass(df: DataFrame, phrases: Phrases | None) -> tuple[DataFrame, Broadcast | None]:
         sent = df.sparkSession.sparkContext.broadcast(tuple(getattr(phrases, f.name) for f in fields(phrases))) if phrases else None
 
         def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,12 +266,20 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, text_col: s
                                               [*names, *([own] if last is False else []), result])
 
         schema = T.StructType([*carried, *([T.StructField(own, T.StringType())] if not last else []), found_type])
-        return df.mapInArrow(in_task, schema)
+        return df.mapInArrow(in_task, schema), sent
 
-    blocks = [Phrases.of(b, window) for b in item_blocks(benchmark, item_col, item_text, block_chars)] or [None]
-    for k, phrases in enumerate(blocks):
-        last = k == len(blocks) - 1
-        src = one_pass(src, phrases)
+    n, block_of = item_blocks(benchmark, item_col, item_text, block_chars)
+    before = None
+    for k in range(n):
+        last, items = k == n - 1, block_of(k)
+        src, sent = one_pass(src, Phrases.of(items, window) if items else None)
+        if not last:  # with several blocks each pass is stored, so the driver and the tasks hold one block at a time
+            now = stored(src, "passes")
+            if sent:
+                sent.destroy()
+            if before is not None:
+                forget(before)
+            src = before = now
     return src
 
 
