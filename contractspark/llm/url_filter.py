@@ -4,13 +4,15 @@ Labelled pages give each host (good, labelled) counts. A level's means scatter a
 noise explains; the method of moments turns that excess into the strength of a beta prior, whose mean is the posterior mean
 of the parent. A host's posterior is then Beta(strength * mean(domain) + good, strength * (1 - mean(domain)) + bad): a host
 without labels has its domain's view, a host with thousands its own. A page is blocked if the upper bound of its host's
-posterior (mean + ``z`` standard deviations) is below ``least_good``, i.e. only where the evidence is firm.
+posterior (mean + ``z`` standard deviations) is below ``least_good``, by default ``share`` of the mean of all labelled pages,
+i.e. only where the evidence is firm that a host is clearly worse than the rest.
 
 Rules (host with path, block or allow) come first: a rule fits its host and all subdomains if the path starts with the
 rule's; the longest fitting rule wins (the first in text order among equally long ones).
 
-Counts per host are partial sums, so a host with a third of the pages costs a row per task; pages meet their host's row in
-a join that adaptive execution can split. The strengths are three single-row results; no table is collected or broadcast.
+Counts per host are partial sums, so a host with a third of the pages costs a row per task. They are stored once; all that
+follows works on hosts, and pages meet their host's row in a join that adaptive execution can split. The strengths are three
+single-row results; no table is collected or broadcast.
 
 Without a public list at hand the suffix is the last label of the host, or two of ``suffixes`` (a parameter), and the
 registered domain one label more; numeric addresses are their own domain. Defined cases: null url or one without ``://``
@@ -26,6 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contractspark.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -75,9 +79,9 @@ def shrunk(groups: DataFrame, k: float) -> Column:
 
 
 def host_posteriors(outcomes: DataFrame, suffixes: tuple[str, ...] = ()) -> DataFrame:
-    """(host, n, good, alpha, beta) from rows (host, good: 0, 1 or null for no label)."""
+    """(host, n, good, alpha, beta, overall) from rows (host, good: 0, 1 or null for no label); ``overall`` is the mean of all."""
     hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    hosts = with_domains(hosts, suffixes)
+    hosts = stored(with_domains(hosts, suffixes), "hosts")
     n, good = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
     by_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("mean", F.lit((good + 1) / (n + 2)))
     by_suffix = by_suffix.select("suffix", shrunk(by_suffix, strength(by_suffix)).alias("mean"))
@@ -86,12 +90,12 @@ def host_posteriors(outcomes: DataFrame, suffixes: tuple[str, ...] = ()) -> Data
     each = hosts.join(by_domain, ["domain", "suffix"])
     k = strength(each)
     return each.select("host", "n", "good", (k * F.col("mean") + F.col("good")).alias("alpha"),
-                       (k * (1 - F.col("mean")) + F.col("n") - F.col("good")).alias("beta"))
+                       (k * (1 - F.col("mean")) + F.col("n") - F.col("good")).alias("beta"), F.lit((good + 1) / (n + 2)).alias("overall"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], *, id_col: str = "page_id", url_col: str = "url",
-          label_id: str = "doc_id", label: str = "quality", least_good: float = 0.5, z: float = 1.645,
-          suffixes: tuple[str, ...] = ()) -> DataFrame:
+          label_id: str = "doc_id", label: str = "quality", least_good: float | None = None, share: float = 0.8,
+          z: float = 1.645, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """page id, host, path, rule, verdict, labelled, posterior_mean and posterior_upper of every page."""
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(F.col(f"`{id_col}`").alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -100,9 +104,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules: dict[str, str], *, id_col:
     a, b = F.col("alpha"), F.col("beta")
     mean = a / (a + b)
     upper = F.least(F.lit(1.0), mean + z * F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1))))
-    told = posteriors.select("host", F.col("n").alias("labelled"), mean.alias("posterior_mean"), upper.alias("posterior_upper"))
+    limit = F.lit(least_good) if least_good is not None else share * F.col("overall")
+    told = posteriors.select("host", limit.alias("limit"), F.col("n").alias("labelled"), mean.alias("posterior_mean"), upper.alias("posterior_upper"))
     rule = fitting_rule(F.col("host"), F.col("path"), rules)
     verdicts = reduce(lambda out, r: F.when(F.col("rule") == r[0], F.lit(r[1])).otherwise(out), rules.items(),
-                      F.when(F.col("posterior_upper") < least_good, F.lit("block")).otherwise(F.lit("allow")))
+                      F.when(F.col("posterior_upper") < F.col("limit"), F.lit("block")).otherwise(F.lit("allow")))
     return (rows.join(told, "host").withColumn("rule", rule)
             .select(F.col("_id").alias(id_col), "host", "path", "rule", verdicts.alias("verdict"), "labelled", "posterior_mean", "posterior_upper"))
