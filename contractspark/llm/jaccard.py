@@ -343,9 +343,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         before, left = left, stored(between(now), "edges")
         forget(before)
     forget(left)
-    alone = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("comp"))
-    if not steps:
-        return alone.distinct()
+    if not steps:  # nodes that are joined with themselves only
+        return stored(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct(), "labels")
     label = steps[0].withColumnRenamed("top", "comp")
     for step in steps[1:]:
         label = label.join(step.withColumnRenamed("node", "comp"), "comp", "left").select("node", F.coalesce("top", "comp").alias("comp"))

@@ -82,6 +82,12 @@ def test_jaccard_small_blocks_and_stars(spark, monkeypatch, block, star, n, num,
     assert got == cases.components(docs, n, num, den)
 
 
+def test_jaccard_without_any_link(spark):
+    docs = [(k, cases.prose(k, 30)) for k in range(40)] + [(100 + k, "shared words of a passage " + f"end{k}") for k in range(5)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(cases.documents(spark, docs)).collect()}
+    assert got == cases.components(docs, 4, 85, 100) and all(i == c for i, (_, c) in got.items())
+
+
 def test_jaccard_rows_of_one_id_and_kept_columns(spark):
     """Two texts under one id are rows of their own; columns are carried on demand."""
     a, b = cases.prose(1, 40), cases.prose(2, 40)
