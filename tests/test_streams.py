@@ -1,5 +1,6 @@
 """Streams: ledger, NOT NULL, keys over increments, micro-batches that run again."""
 
+import datetime
 import glob
 import os
 
@@ -7,6 +8,8 @@ import pytest
 
 import contractspark as cs
 from contractspark.operators.keys import key_suspects, key_violations_against, key_violations_in_two_steps
+from contractspark.plans.stream_queries import stream_contract
+from contractspark.plans.table_queries import ORACLE
 from contractspark.spec import ObjectSpec
 from contractspark.streaming.keys import run_key_check, streamed_key_violations
 from contractspark.streaming.stream import ledger_counts, run_stream
@@ -98,3 +101,12 @@ def test_keys_against_rows_that_are_there(spark):
     got = {tuple(r) for r in key_violations_against(new, old, ["a", "b"]).collect()}
     assert got == {(1, "a", 2, 1, "duplicate"), (5, "e", 2, 2, "duplicate"), (None, "n", 1, 1, "null_key")}
     assert key_violations_against(new.limit(0), old, ["a"]).count() == 0 and key_violations_against(new, old.limit(0), ["a", "b"]).count() == 2
+
+
+def test_stream_contract_takes_the_source_file_from_the_files_read(spark, tmp_path):
+    ddl = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(i, datetime.datetime(2024, 1, 1 + i), i % 2, "view", 1.5, '{"k": %d, "j": "x"}' % i) for i in (0, 1, 1, 2, 3)]
+    spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/events.parquet")
+    got = stream_contract(spark, str(tmp_path)).select("event_id", "props_k", "_source_file").collect()
+    assert sorted(map(tuple, got)) == [(r[0], r[0], "events.parquet") for r in rows]
+    assert "'events.parquet' AS _source_file" in ORACLE["stream_contract"]
