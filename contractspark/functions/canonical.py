@@ -9,12 +9,19 @@ A number of a variant is compared as a decimal if it has up to 18 digits on eith
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A JSON string; possessive, so that a long one needs no stack.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 #: Pieces of a JSON text: strings, numbers, and what is between them.
-_PIECES = r'("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|[^"0-9-]+|-)'
+_PIECES = rf'({_STRING}|-?[0-9][0-9.eE+-]*|[^"0-9-]+|-)'
+#: A whole number that is written with a point, and texts all of whose numbers have their one form already (in up to 17 digits).
+_POINTED = rf'({_STRING})|(?<![0-9.eE+-])(-?[1-9][0-9]{{0,16}}+|0)\.0++(?![0-9eE])'
+_IN_FORM = rf'^(?:[^"0-9-]++|{_STRING}|(?:-?[1-9][0-9]{{0,16}}+|0)(?![0-9.eE])|-?(?:0|[1-9][0-9]{{0,16}}+)\.[0-9]{{1,17}}+(?<=[1-9])(?![0-9.eE]))*+$'
 
 
 def needs_form(dtype: T.DataType | None) -> bool:
@@ -26,18 +33,30 @@ def needs_form(dtype: T.DataType | None) -> bool:
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` worked out once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def _number(text: Column) -> Column:
-    as_double = text.try_cast("double")
-    as_decimal = text.try_cast("decimal(38,18)")
-    plain = F.regexp_replace(F.regexp_replace(as_decimal.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    short = (F.length(F.regexp_extract(text, r"\.([0-9]*?)0*$", 1)) <= 18) & (F.abs(as_double) < 1e18)
-    text_of = F.when(plain == "-0", F.lit("0")).otherwise(plain)
-    return F.when(as_decimal.isNotNull() & short & (as_decimal.cast("double") == as_double), text_of).otherwise(as_double.cast("string"))
+    def form(as_double: Column, as_decimal: Column) -> Column:
+        short = (F.length(F.regexp_extract(text, r"\.([0-9]*?)0*$", 1)) <= 18) & (F.abs(as_double) < 1e18)
+        plain = F.to_json(as_decimal.cast("variant"))  # without exponent and closing zeros
+        return F.when(as_decimal.isNotNull() & short & (as_decimal.cast("double") == as_double), plain).otherwise(as_double.cast("string"))
+
+    return _with(F.struct(text.try_cast("double").alias("f"), text.try_cast("decimal(38,18)").alias("d")), lambda x: form(x["f"], x["d"]))
 
 
 def _json_form(value: Column) -> Column:
-    pieces = F.regexp_extract_all(F.to_json(value), F.lit(_PIECES), F.lit(1))
-    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^-?[0-9]"), _number(p)).otherwise(p)), "")
+    """The text with its numbers in form; most texts are so when points of whole numbers are gone, others go by pieces."""
+    def pieces(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(1))
+        return F.array_join(F.transform(found, lambda p: F.when(p.rlike("^-?[0-9]"), _number(p)).otherwise(p)), "")
+
+    def short(text: Column) -> Column:
+        return _with(F.regexp_replace(text, _POINTED, "$1$2"), lambda x: F.when(x.rlike(_IN_FORM), x).otherwise(pieces(text)))
+
+    return _with(F.to_json(value), lambda x: F.when(x.rlike(_IN_FORM), x).otherwise(short(x)))
 
 
 def canonical(value: Column, dtype: T.DataType) -> Column:

@@ -111,6 +111,28 @@ def test_variant_forms_are_equal_exactly_for_equal_values(spark, values):
             assert (plain(a) == plain(b)) == (x == y), (a, b, x, y)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_variant_forms_by_the_short_and_the_long_way_agree(spark, ansi):
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        same = [["0", "-0.0", "0e0", "-0e5"], ["0.0000001", "1e-7", "0.00000010"], ["-0.5", "-5e-1"], ["12345678901234567", "12345678901234567.0"], ["1234567890123456", "1234567890123456.00e0"], ["-7", "-7e0", "-7.0"],
+                ["0.1234567890123456", "1234567890123456e-16"], ['{"a\\\\": "1.0\\"2.0", "b": [1.0, -2, 3e0]}', '{"b": [1, -2.0, 3], "a\\\\": "1.0\\"2.0"}']]
+        got = [forms(spark, group) for group in same]
+        assert [len(set(g)) for g in got] == [1] * len(same) and len({g[0] for g in got}) == len(same), got
+        assert got[1][0] == "0.0000001" and got[4][0] == "-7"
+        apart = ["999999999999999999", "99999999999999999", "1e17", "1e18", "1.00000000000000001", "123456789012345678901234567890", "12345678901234567.5", "1.5", "15", '"1.50"', '"1.5"', "[1,1]", "[11]", "[1.1]"]
+        assert len(set(forms(spark, apart))) == len(apart)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
+
+
+def test_variant_form_of_a_long_text(spark):
+    long = "\\u00e9x 1.0 \\\" " * 20_000  # the regular expression may not go down a frame for each of its characters
+    got = forms(spark, [f'{{"n": 1.0, "t": "{long}"}}', f'{{"t": "{long}", "n": 1e0}}'])
+    assert got[0] == got[1] and got[0].startswith('{"n":1,')
+
+
 def test_unique_items_of_maps_structs_and_variants(spark):
     obj = ObjectSpec.from_dict({"name": "t", "properties": [{"name": "x", "logicalType": "array", "physicalType": "ARRAY<STRUCT<m:MAP<STRING,INT>,v:INT>>", "logicalTypeOptions": {"uniqueItems": True}}]})
     rows = [([({"a": 1, "b": 2}, 1), ({"b": 2, "a": 1}, 1)],), ([({"a": 1}, 1), ({"a": 1}, 2)],), ([None, None],), ([],), (None,), ([(None, 1), (None, 2)],)]
