@@ -361,9 +361,11 @@ def resolve_types(catalog: DataFrame) -> DataFrame:
     flat = _scalar_resolution(classify_types(catalog))
     top = F.regexp_extract("path", r"^((?:\\.|[^.\[\\])*)", 1)
     nodes = flat.select("contract", "object", top.alias("__top"), F.struct((-F.col("depth")).alias("up"), "path", "ordinal", F.struct(*flat.columns).alias("row")).alias("n"))
-    trees = nodes.groupBy("contract", "object", "__top").agg(
-        F.sort_array(F.collect_list(F.struct("n.up", "n.path", "n.ordinal", F.xxhash64(F.to_json("n.row")).alias("tie"), "n.row"))).alias("rows"))
-    rows = F.transform("rows", lambda x: x["row"])
+    trees = nodes.groupBy("contract", "object", "__top").agg(F.collect_list("n").alias("ns"))
+    tied = F.transform("ns", lambda n: F.struct(n["up"], n["path"], n["ordinal"], F.xxhash64(F.to_json(n["row"])).alias("tie"), n["row"].alias("row")))
+    told = F.size(F.array_distinct(F.col("ns.path"))) == F.size("ns")  # else repeated paths go by ordinal and a hash of the row
+    trees = trees.select(F.when(told, F.transform(F.sort_array("ns"), lambda x: x["row"])).otherwise(F.transform(F.sort_array(tied), lambda x: x["row"])).alias("rows"))
+    rows = F.col("rows")
     each = trees.select(F.explode(F.arrays_zip(rows.alias("row"), _assembled(rows).alias("made"))).alias("x"))
     lt = F.col("logical_type")
     reason = (F.when(F.col("made.bad") & (F.col("made.n") > 0), F.lit("a nested field cannot be resolved"))

@@ -198,3 +198,17 @@ def test_wide_structs_assemble(spark):
     decoded = cat.decode_contracts(spark.createDataFrame([("x.yaml", "x", HEAD + "schema: [" + json.dumps(obj) + "]")], "path string, prefix string, text string"))
     got = {r.path: (r.type_text, r.n_children) for r in cat.resolve_types(cat.column_catalog(decoded)).collect()}
     assert got["w"] == ("STRUCT<" + ",".join(f"c{k}:INT" for k in range(2000)) + ">", 2000) and len(got) == 2001
+
+
+def test_rows_are_hashed_only_where_paths_repeat(spark):
+    lead = ("k", "o", "a", None, 0, 0, False, "a", "object", "STRING", True)
+    kids = [("k", "o", f"a.{n}", "a", i, 1, False, n, "integer", t, False) for i, (n, t) in enumerate((("x", "INT"), ("y", "BIGINT")))]
+    ddl = "contract string, object string, path string, parent_path string, ordinal int, depth int, is_items boolean, name string, logical_type string, physical_type string, has_properties boolean"
+    rest = {c: F.lit(None).cast(t) for c, t in (x.strip().split(" ", 1) for x in cat.CATALOG_DDL.split(",")) if c not in ddl.replace(",", "").split(" ")}
+    frame = lambda rows: spark.createDataFrame(rows, ddl).withColumns({**rest, "has_items": F.lit(False)}).select(*cat.CATALOG_COLUMNS)
+    res = cat.resolve_types(frame([lead, *kids]))
+    assert [r.type_text for r in res.where("depth = 0").collect()] == ["STRUCT<x:INT,y:BIGINT>"]
+    twice = cat.resolve_types(frame([lead, *kids, lead])).where("depth = 0").collect()
+    assert len(twice) == 2 and sorted(r.n_children for r in twice) == [0, 2]
+    plan = res._jdf.queryExecution().optimizedPlan().toString()  # a group's rows are collected without a JSON text of each
+    assert "StructsToJson" not in next(line for line in plan.splitlines() if "collect_list" in line)
