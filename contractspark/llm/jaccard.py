@@ -15,8 +15,9 @@ entries are bounded away before they are formed:
   done twice.
 * A group of one signature is represented by its lead, the row of the group whose signatures reach most rows (of a text and
   its edited copies that is the text). A row is first multiplied with the one lead that it shares most signatures with, then
-  with its other leads outside its component if it shares enough with them. Rows are sent once per lead, in parts of bounded
-  size, each with the lead's row once.
+  with its other leads outside its component if it shares enough with them, in 16 bits a column first: pairs that share too few
+  of those don't link, the others are multiplied in full. Rows are sent once per lead, in parts of bounded size, each with the
+  lead's row once.
 * Groups that then still hold several components are open: pairs in them may link although neither links to the lead. Rows
   with enough signatures in groups of several components go by family (rows that open signatures connect) and blocks of one
   size class and bounded bytes; two blocks meet unless their sizes are too far apart or both belong to one component, which
@@ -36,7 +37,7 @@ no rows. The result has columns of its own and the columns ``keep``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -147,6 +148,12 @@ def class_key(row: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)[0]), int(b.view(np.int64)[0])
 
 
+def numbered(short: bytes) -> np.ndarray:
+    """A short row's sorted 16-bit columns, told apart where they repeat: rows share as many of these as of their columns, or more."""
+    x = np.frombuffer(short, np.uint16)
+    return (x.astype(np.uint64) << np.uint64(32)) + (np.arange(len(x)) - np.searchsorted(x, x, "left")).astype(np.uint64)
+
+
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Entries of the product for pairs of rows: the shared columns of each, accumulated over all columns at once."""
     if not left:
@@ -249,7 +256,16 @@ class _Join:
         texts = self.docs.join(F.broadcast(reps) if small else reps, F.col("_id") == F.col("rep")).select("node", "c1", "c2", "_text")
         return texts.mapInArrow(in_task, "node long, row binary")
 
-    def linked(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    def likely(self, pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        """Of (a, b), the pairs that link and few others: by 16 bits a column, of which no pair shares less than of its columns."""
+        def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                short = [(np.frombuffer(x, np.uint64) >> np.uint64(48)).astype(np.uint16).tobytes() for x in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary())], ["node", "row"])
+
+        return self.linked(pairs, rows.select("node", "row").mapInArrow(in_task, "node long, row binary"), numbered)
+
+    def linked(self, pairs: DataFrame, rows: DataFrame, columns: Callable[[bytes], np.ndarray] = lambda x: np.frombuffer(x, np.uint64)) -> DataFrame:
         """Of (a, b), the pairs that link. A row ``b`` is sent once for each ``a``, the row ``a`` once for each part of them."""
         num, den = self.num, self.den
 
@@ -261,7 +277,7 @@ class _Join:
                 for at, to in zip(edges[:-1], edges[1:]):
                     a, b, left, right = [], [], [], []
                     for x, y, row in zip(*(batch.column(k).slice(at, to - at).to_pylist() for k in range(3))):
-                        row = np.frombuffer(row, np.uint64)
+                        row = columns(row)
                         if x == y:
                             lead, lead_row = x, row
                         elif lead == x and (not b or (a[-1], b[-1]) != (x, y)):
@@ -397,9 +413,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     of = lambda node, name: tops.select(F.col("b").alias(node), F.col("top").alias(name))
     apart = pairs.join(of("lead", "p"), "lead", "left").join(of("node", "q"), "node", "left").where(F.coalesce("p", "lead") != F.coalesce("q", "node"))
     others = apart.select(F.col("lead").alias("a"), F.col("node").alias("b")).join(first, ["a", "b"], "left_anti")
-    more = stored(join.linked(others, rows), "links")
+    likely = stored(join.likely(others, rows).distinct(), "likely")  # nearly all of the others don't link: a quarter of their bytes shows that
+    more = stored(join.linked(likely, rows), "links")
     comp = components(edges.union(more))
-    forget(pairs)
+    forget(pairs, likely)
 
     # open groups: those whose rows without the lead are not one component
     rest = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -82,6 +82,20 @@ def test_jaccard_small_blocks_and_stars(spark, monkeypatch, block, star, n, num,
     assert got == cases.components(docs, n, num, den)
 
 
+def test_jaccard_short_rows_keep_every_link_and_few_other_pairs(spark):
+    rng = np.random.default_rng(1)
+    lead = np.unique(rng.integers(0, 2 ** 64, 1000, np.uint64))
+    other = {k: np.unique(np.concatenate([lead[k:], rng.integers(0, 2 ** 64, k, np.uint64)])) for k in range(1, 400, 7)}
+    table = spark.createDataFrame([(0, lead.tobytes())] + [(k, x.tobytes()) for k, x in other.items()], "node long, row binary")
+    pairs = spark.createDataFrame([(0, k) for k in other], "a long, b long")
+    join = jaccard._Join(spark.createDataFrame([], "_id long, _text string"), 4, 85, 100)
+    found = lambda df: {r.b for r in df.collect()}
+    likely, linked = found(join.likely(pairs, table)), found(join.linked(pairs, table))
+    assert linked == {k for k in other if 100 * (1000 - k) >= 85 * (1000 + k)} and linked <= likely and len(likely) <= len(linked) + 4
+    repeated = np.array([5, 5, 5, 9], np.uint16)
+    assert len(np.intersect1d(jaccard.numbered(repeated.tobytes()), jaccard.numbered(repeated[1:].tobytes()))) == 3
+
+
 def test_jaccard_without_any_link(spark):
     docs = [(k, cases.prose(k, 30)) for k in range(40)] + [(100 + k, "shared words of a passage " + f"end{k}") for k in range(5)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(cases.documents(spark, docs)).collect()}
