@@ -43,9 +43,15 @@ def bounded_batches(spark: SparkSession, bytes_per_batch: int = 16 << 20, rows_p
 
 
 def per_process(key: tuple, make: Callable[[], object]) -> object:
-    """One object per Python worker process, which runs many tasks: for what is costly to make and only saves time."""
+    """One object per Python worker process, which runs many tasks: for what is costly to make and only saves time.
+
+    A worker keeps the object of one key at a time: an executor's workers outlive the job that filled it, and memories of
+    several operators would add up.
+    """
     kept = sys.modules.setdefault("_contractspark_llm_kept", types.ModuleType("_contractspark_llm_kept")).__dict__
     if key not in kept:
+        for other in [k for k in kept if isinstance(k, tuple)]:
+            del kept[other]
         kept[key] = make()
     return kept[key]
 

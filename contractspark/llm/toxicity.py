@@ -6,7 +6,7 @@ together (an insult next to a group mention), which additive weights miss; its r
 20,000 words comparable.
 
 Training reads at most ``max_rows`` labelled rows (a documented bound; those with the smallest hash of doc_id, so the
-choice depends on nothing else) in one task; scoring is a map over all documents with the model, whose size is fixed by
+choice depends on nothing else) in one task, which holds their distinct buckets and never their texts together; scoring is a map over all documents with the model, whose size is fixed by
 ``bits`` and ``factors``, as a broadcast.
 
 Defined cases: null or empty text has no terms and scores sigmoid(b); null doc_id is scored and is never learnt from;
@@ -21,7 +21,7 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,35 +121,51 @@ class TermMemory:
         return self.flat[expand(first, self.starts[at + 1] - first)]
 
 
-def term_buckets(texts: list[str | None], bits: int, memory: TermMemory | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed terms of each text, one after another, and where each text's begin."""
+def row_terms(texts: Iterable[str | None], bits: int, memory: TermMemory | None = None) -> list[np.ndarray]:
+    """Distinct hashed terms of each text, in rising order."""
     memory = memory or TermMemory(bits)
-    found, starts, hit = [], [0], np.zeros(1 << bits, bool)
+    found, hit = [], np.zeros(1 << bits, bool)
     for text in texts:
         hit[memory.buckets(set(WORD.findall((text or "").lower())))] = True
-        found.append(np.flatnonzero(hit))
+        found.append(np.flatnonzero(hit).astype(np.int32))
         hit[found[-1]] = False
-        starts.append(starts[-1] + len(found[-1]))
-    return (np.concatenate(found) if found else np.zeros(0, np.int64)), np.array(starts, np.int64)
+    return found
+
+
+def term_buckets(texts: list[str | None], bits: int, memory: TermMemory | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed terms of each text, one after another, and where each text's begin."""
+    found = row_terms(texts, bits, memory)
+    return (np.concatenate(found) if found else np.zeros(0, np.int32)), np.cumsum([0, *map(len, found)], dtype=np.int64)
+
+
+def _least(values: np.ndarray, size: int) -> np.ndarray:
+    """The numbers below ``size`` in the narrowest type that holds them."""
+    return values.astype(np.min_scalar_type(max(size - 1, 0)))
 
 
 class _Batch:
-    """The rows of a minibatch as a sparse matrix over its own buckets, laid out once for sums by row and by bucket."""
+    """Rows ``rows`` of ``terms`` as a sparse matrix over their own ``used`` buckets, laid out once for sums by row and by bucket.
 
-    def __init__(self, flat: np.ndarray, starts: np.ndarray, rows: np.ndarray):
-        lengths = starts[rows + 1] - starts[rows]
-        idx = flat[expand(starts[rows], lengths)]
+    The rows' entries of ``terms`` are let go for what is held instead, an array a row again, which fits where they were.
+    """
+
+    def __init__(self, terms: list[np.ndarray], rows: np.ndarray, used: np.ndarray):
+        own = [terms[r][used[terms[r]]] for r in rows]
+        lengths = np.array([len(t) for t in own], np.int64)
         self.rows, self.counts = rows, np.maximum(lengths, 1)
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
-        self.buckets, at = np.unique(idx, return_inverse=True)
-        self.at = at.astype(np.int32)
-        order = np.argsort(self.at, kind="stable")
-        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)[order]
-        self.first = np.searchsorted(self.at[order], np.arange(len(self.buckets)))
+        self.buckets, at = np.unique(np.concatenate(own), return_inverse=True)
+        at = _least(at, len(self.buckets))
+        for r in rows:
+            terms[r] = own[0][:0].copy()
+        self.at = [at[s:e].copy() for s, e in zip(self.starts, self.starts[1:])]
+        self.owner = np.repeat(_least(np.arange(len(rows)), len(rows)), lengths)[np.argsort(at, kind="stable")]
+        held = np.bincount(at, minlength=len(self.buckets))
+        self.first = (np.cumsum(held) - held).astype(np.int32)
 
     def by_row(self, values: np.ndarray) -> np.ndarray:
         """Sums of the values of each row's buckets."""
-        return _row_sums(values.take(self.at, axis=0), self.starts)
+        return _row_sums(values.take(np.concatenate(self.at), axis=0), self.starts)
 
     def by_bucket(self, values: np.ndarray) -> np.ndarray:
         """Sums of the values of the rows that have a bucket."""
@@ -158,9 +174,15 @@ class _Batch:
 
 def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int = 8, epochs: int = 12,
         rate: float = 0.3, l2: float = 1e-3, seed: int = 7, rare: int = 5, z: float = 3.0) -> FactorizationMachine:
+    """``fit_terms`` on the terms of texts."""
+    return fit_terms(row_terms(texts, bits), labels, bits, factors, epochs, rate, l2, seed, rare, z)
+
+
+def fit_terms(terms: list[np.ndarray], labels: list[int], bits: int = 18, factors: int = 8, epochs: int = 12,
+              rate: float = 0.3, l2: float = 1e-3, seed: int = 7, rare: int = 5, z: float = 3.0) -> FactorizationMachine:
     """AdaGrad on the logistic loss, in minibatches of rows that are dealt once and taken in another order in each epoch.
 
-    Buckets in fewer than ``rare`` training rows keep weight and factors of 0: they would only be learnt by heart. The
+    ``terms`` (distinct buckets of each row) is used up: a row's array is let go once its minibatch is laid out. Buckets in fewer than ``rare`` training rows keep weight and factors of 0: they would only be learnt by heart. The
     others all have factors, as a term that is neutral alone may be toxic beside another one; those whose share of toxic
     rows lies within ``z`` standard errors of the base rate keep a weight of 0 only.
     """
@@ -170,14 +192,15 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 18, factors: int
     w, v = np.zeros(size), rng.normal(0, 0.05, (size, factors)).astype(np.float32)
     bias, seen, additive = float(np.log(base / (1 - base))), np.zeros(size, bool), np.zeros(size, bool)
     if 0 < y.sum() < len(y):
-        flat, starts = term_buckets(texts, bits)
-        rows_with, toxic_with = np.bincount(flat, minlength=size), np.bincount(flat, np.repeat(y, np.diff(starts)), size)
+        rows_with, toxic_with = np.zeros(size, np.int64), np.zeros(size)
+        for own, label in zip(terms, y):
+            rows_with[own] += 1
+            toxic_with[own] += label
         off = (toxic_with - base * rows_with) / np.sqrt(np.maximum(rows_with * base * (1 - base), 1e-9))
         seen = rows_with >= rare
         additive = seen & (np.abs(off) >= z)
-        flat, starts = flat[seen[flat]], np.concatenate([[0], np.cumsum(seen[flat])])[starts]
         gw, gv, gb = np.full(size, 1e-3), np.full((size, factors), 1e-3, np.float32), 1e-3
-        batches = [_Batch(flat, starts, rows) for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128))]
+        batches = [_Batch(terms, rows, seen) for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128))]
         for _ in range(epochs):
             for k in rng.permutation(len(batches)):
                 batch = batches[k]
@@ -214,17 +237,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
           max_rows: int = 8_000, bits: int = 18, factors: int = 8) -> FactorizationMachine:
-    """Fit on the bounded sample, in one task of an executor; the driver receives the model's arrays only."""
+    """Fit on the bounded sample, in one task of an executor; the driver receives the model's arrays only.
+
+    Spark sorts the rows, so the task turns each text into its buckets as it comes.
+    """
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((x for b in batches for x in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1).to_pylist())),
-                      key=lambda x: (str(x[0]), x[2] or ""))
-        m = fit([x[2] for x in rows], [int(x[1] > 0) for x in rows], bits, factors)
+        per_process(("toxicity",), dict).clear()  # what this worker remembers of an older model
+        memory, terms, found = TermMemory(bits, most=_MEMORY // 5), [], []
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                terms += row_terms(part.column(0).to_pylist(), bits, memory)
+                found += [int(x > 0) for x in part.column(1).to_pylist()]
+        memory.clear()
+        m = fit_terms(terms, found, bits, factors)
         out = io.BytesIO()
         np.savez_compressed(out, bias=m.bias, weights=m.weights, factors=m.factors)
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
 
     sample = labelled_sample(docs, labels, label, max_rows, id_col, text_col)
-    sent = sample.repartition(1).mapInArrow(in_task, "model binary").collect()
+    ordered = sample.repartition(1).sortWithinPartitions(F.col("_id").cast("string"), F.coalesce("_text", F.lit(""))).select("_text", "_label")
+    sent = ordered.mapInArrow(in_task, "model binary").collect()
     if not sent:  # of an empty table there is no task at all
         return fit([], [], bits, factors)
     got = np.load(io.BytesIO(bytes(sent[0].model)))

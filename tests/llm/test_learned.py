@@ -1,5 +1,8 @@
 """Learned operators, by held-out rows and small fixtures, and the pipeline against a brute-force version."""
 
+import gc
+import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from contractspark.llm import quality, toxicity
-from contractspark.llm.common import held_out, table
+from contractspark.llm.common import held_out, per_process, table
 from contractspark.llm.queries import QUERIES, word_bpe_path
 
 from . import cases
@@ -54,6 +57,36 @@ def test_factorization_machine_learns_a_pair():
     assert s[0] > 0.5 > max(s[1:])
 
 
+def test_toxicity_training_holds_few_bytes_a_term():
+    rng = np.random.default_rng(2)
+    words = np.array(["".join(map(chr, x)) for x in rng.integers(97, 123, (4000, 8))])
+    texts = [" ".join(words[rng.integers(4000, size=250)]) for _ in range(1500)]
+    entries = len(toxicity.term_buckets(texts, 14)[0])
+    tracemalloc.start()
+    toxicity.fit(texts, [int(words[k % 40] in x) for k, x in enumerate(texts)], 14, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * entries, (peak, entries)
+
+
+def test_toxicity_training_takes_rows_by_id_as_text_then_text(spark):
+    rows = [(i % 190, None if i % 17 == 0 else f"word{i % 7} other{i % 11} \U0001f600{i % 3} \uffee{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 7 == 3)) for i in range(190)], "doc_id long, toxic int")
+    used = sorted(((str(i), t or "", int(i % 7 == 3)) for i, t in rows if zlib.crc32(str(i).encode()) % 5))
+    got, want = toxicity.train(docs, labels, bits=10), toxicity.fit([x[1] for x in used], [x[2] for x in used], 10)
+    assert got.bias == want.bias and (got.weights == want.weights).all() and (got.factors == want.factors).all() and got.factors.any()
+
+
+def test_worker_keeps_the_object_of_one_key():
+    first = per_process(("one",), dict)
+    assert per_process(("one",), dict) is first
+    ref = weakref.ref(per_process(("held",), type("Held", (), {})))
+    per_process(("two",), dict)
+    gc.collect()
+    assert ref() is None and per_process(("one",), dict) is not first
+
+
 def test_margins_equal_pair_by_pair_sums():
     """The margin is the bias, the weights of a text's terms, and each pair's product of factors by the number of terms."""
     rng = np.random.default_rng(5)
