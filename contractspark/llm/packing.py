@@ -12,6 +12,7 @@ own; an empty table gives no rows; a text of any length is cut as it needs. The
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -25,16 +26,33 @@ from pyspark.sql import types as T
 
 from contractspark.llm.common import per_process
 
-#: Chunks, and stems, that a worker process remembers the ids of; only a speed matter.
-_MEMORY = 500_000
+#: Chunks, and bytes of them, that a worker process remembers the ids of; only a speed matter.
+_MEMORY, _MEMORY_BYTES = 1_000_000, 64 << 20
+#: Bytes of texts whose chunks are looked up together (a longer text is cut at blanks); only a speed matter.
+_SLICE = 4 << 20
+#: Kinds of bytes. Two-byte letters count if their lead byte tells so: C3 (but for two signs), D0 and D1.
+_BLANK, _LETTER, _MARK, _LEAD = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = _BLANK
+_KIND[[b for b in range(128) if chr(b).isalpha()]] = _LETTER
+_KIND[[b for b in range(33, 127) if not chr(b).isalnum()]] = _MARK
+_KIND[[0xC3, 0xD0, 0xD1]] = _LEAD
+
+
+def _after(flags: np.ndarray, first: bool) -> np.ndarray:
+    """``flags`` of the byte before each byte."""
+    out = np.empty_like(flags)
+    out[:1], out[1:] = first, flags[:-1]
+    return out
 
 
 class ChunkTokenizer:
-    """Ids of whole texts as little-endian uint32 bytes, by way of their blank-separated chunks.
+    """Ids of whole texts as little-endian uint32 bytes, by way of their chunks.
 
-    For tokenizers whose pieces never reach over a blank (as with vocabularies that mark word ends). Each chunk is encoded
-    once and remembered; unseen chunks are encoded many at a time. An ASCII chunk is remembered in lower case if the
-    tokenizer lower-cases; a final comma or full stop after a letter is remembered apart.
+    For tokenizers whose pieces never reach over a blank (as with vocabularies that mark word ends), nor from a letter to a
+    punctuation mark after it. Texts are cut at both, all texts of a slice at a time; their distinct chunks are looked up, unseen
+    ones are encoded many at a time and remembered. If the tokenizer lower-cases, A-Z are lower-cased first, unless a
+    character from U+0300 follows that may combine with it.
     """
 
     def __init__(self, path: str, lower: bool = True):
@@ -43,36 +61,80 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.lower = lower
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
-
-    def _parts(self, chunk: str) -> tuple[str, str]:
-        if self.lower and chunk.isascii():
-            chunk = chunk.lower()
-        return (chunk[:-1], chunk[-1]) if len(chunk) > 1 and chunk[-1] in ".," and chunk[-2].isalpha() and len(chunk[-2].lower()) == 1 else (chunk, "")
-
-    def _learn(self, chunks: set[str]) -> None:
-        parts = {c: self._parts(c) for c in chunks}
-        if len(self.stems) > _MEMORY:
-            self.stems = {"": b""}
-        new = sorted({p for two in parts.values() for p in two}.difference(self.stems))
-        blocks = [new[i:i + 256] for i in range(0, len(new), 256)]
-        for block, got in zip(blocks, self.tokenizer.encode_batch([" ".join(b) for b in blocks], add_special_tokens=False)):
-            begins = np.cumsum([0] + [len(p) + 1 for p in block])
-            of = np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), begins) * 4
-            ids = np.array(got.ids, "<u4").tobytes()
-            self.stems.update((p, ids[of[k]:of[k + 1]]) for k, p in enumerate(block))
-        self.chunks.update((c, self.stems[stem] + self.stems[end] if end else self.stems[stem]) for c, (stem, end) in parts.items())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.chunks: dict[bytes, int] = {}
+        self.bytes = 0
+        #: Ids of all remembered chunks, one after the other, and where each begins and ends.
+        self.ids, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        ids, ends, had = [self.ids], [self.ends], len(self.ids)
+        for k in range(0, len(chunks), 256):
+            block = [c.decode() for c in chunks[k:k + 256]]
+            got = self.tokenizer.encode(" ".join(block), add_special_tokens=False)
+            begins = np.cumsum([len(p) + 1 for p in block])
+            ends.append(had + np.searchsorted(np.array([o[0] for o in got.offsets], np.int64), begins))
+            ids.append(np.array(got.ids, "<u4"))
+            had += len(ids[-1])
+        self.chunks.update(zip(chunks, range(len(self.chunks), len(self.chunks) + len(chunks))))
+        self.bytes += sum(map(len, chunks))
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+
+    def _find(self, chunks: list[bytes]) -> np.ndarray:
+        """The number of each of these distinct chunks."""
+        at = np.fromiter(map(self.chunks.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
+        unseen = np.flatnonzero(at < 0)
+        if len(unseen):
+            if len(self.chunks) + len(unseen) > _MEMORY or self.bytes > _MEMORY_BYTES:
+                self._forget()
+                unseen = np.arange(len(chunks))
+            at[unseen] = np.arange(len(self.chunks), len(self.chunks) + len(unseen))
+            self._learn([chunks[k] for k in unseen.tolist()])
+        return at
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        text = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        first = np.cumsum([0] + [len(t) + 1 for t in texts])
+        kind = _KIND[text]
+        blank, letter = kind == _BLANK, kind == _LETTER
+        letter |= _after(kind == _LEAD, False) & ~(_after(text == 0xC3, False) & ((text == 0x97) | (text == 0xB7)))
+        if self.lower:
+            capital = (text >= 65) & (text <= 90)
+            capital[:-1] &= text[1:] < 0xCC
+            text = text + (capital.view(np.uint8) << 5)
+        begins = ~blank & (_after(blank, True) | ((kind == _MARK) & _after(letter, False)))
+        kept = np.flatnonzero(begins[~blank]).astype(np.int32)
+        text = text[~blank]
+        chunks = pa.Array.from_buffers(pa.binary(), len(kept), [None, pa.py_buffer(np.append(kept, np.int32(len(text)))), pa.py_buffer(text)]).dictionary_encode()
+        at = self._find(chunks.dictionary.to_pylist())
+        of = chunks.indices.to_numpy()
+        lengths = self.ends[at + 1] - self.ends[at]
+        ends = np.concatenate([[0], np.cumsum(lengths[of])])
+        ids = self.ids[np.repeat(self.ends[at][of] - ends[:-1], lengths[of]) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[np.searchsorted(np.flatnonzero(begins), first)]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*cut)
-        unseen = every.difference(self.chunks)
-        if len(self.chunks) + len(unseen) > _MEMORY:
-            self.chunks, unseen = {}, every
-        if unseen:
-            self._learn(unseen)
-        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
+        out, rows, parts, size = [b""] * len(texts), [], [], 0
+        for r, text in enumerate(map(str.encode, texts)):
+            at = 0
+            while at < len(text):
+                end = len(text) if len(text) - at <= _SLICE else text.rfind(b" ", at, at + _SLICE) + 1 or len(text)
+                if parts and size + end - at > _SLICE:
+                    self._add(out, rows, parts)
+                    rows, parts, size = [], [], 0
+                rows.append(r)
+                parts.append(text[at:end])
+                at, size = end, size + end - at
+        if parts:
+            self._add(out, rows, parts)
+        return out
+
+    def _add(self, out: list[bytes], rows: list[int], parts: list[bytes]) -> None:
+        for r, ids in zip(rows, self._encode(parts)):
+            out[r] += ids
 
 
 class TournamentTree:
@@ -121,8 +183,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
         coder = per_process(("tokenizer", tokenizer_path), lambda: ChunkTokenizer(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 row, cols, ids = [], [[], [], [], []], []
                 for r, x in enumerate(coder.encode(part.column(1).to_pylist())):
                     x += end

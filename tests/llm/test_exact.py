@@ -232,6 +232,33 @@ def test_chunks_are_encoded_as_whole_texts():
         assert np.frombuffer(chunks.encode([text])[0], "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_chunks_are_encoded_once_whatever_marks_follow(monkeypatch):
+    from tokenizers import Tokenizer
+
+    coder, chunks = Tokenizer.from_file(word_bpe_path()), packing.ChunkTokenizer(word_bpe_path())
+    coder.encode_special_tokens = True
+    learnt, learn = [], chunks._learn
+    monkeypatch.setattr(chunks, "_learn", lambda new: (learnt.extend(new), learn(new)))
+    words, marks = ["alpha", "bêta", "слово", "Gamma", "GAMMA"], ["", ".", ",", "!!", "***", "$$$", "'s", "-", ")"]
+    texts = [f"{w}{m} {w}{m}\n" for w in words for m in marks] * 2
+    got = chunks.encode(texts[:40]) + chunks.encode(texts[40:])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [coder.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(learnt) == len(set(learnt)) <= 4 + len(marks) - 1  # 4 words and the marks, not each word with each mark
+
+
+def test_chunks_in_small_slices_and_little_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    coder, chunks = Tokenizer.from_file(word_bpe_path()), packing.ChunkTokenizer(word_bpe_path())
+    coder.encode_special_tokens = True
+    monkeypatch.setattr(packing, "_SLICE", 50)  # texts are cut at blanks, where they have any
+    monkeypatch.setattr(packing, "_MEMORY", 30)
+    texts = [cases.prose(k, 5 * k) for k in range(20)] + ["", "x" * 300, " ", "é, " * 60, "a\u0301 H\u0331 " * 20, "\u00d7, \u00e9\u00e9, \u0130, =\u0338"]
+    got = chunks.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [coder.encode(t, add_special_tokens=False).ids for t in texts]
+    assert chunks.encode([]) == [] and len(chunks.chunks) <= 60
+
+
 # ---- sharding -----------------------------------------------------------------------------------------------
 
 
