@@ -6,7 +6,7 @@ import re
 import sys
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,11 +87,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Lets Spark delete the shuffle files of a query when it ends, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
+    return stored_in_turn([df], name)
+
+
+def stored_in_turn(frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """The rows of one or more frames of one schema as one stored table; a frame's shuffle files go before the next is computed."""
+    path = None
+    for df in frames:
+        spark = df.sparkSession
+        path = path or shared_path(spark, name)
+        before = spark.conf.get(_CLEANUP, None)
+        spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("append").parquet(path)
+        finally:
+            spark.conf.set(_CLEANUP, before) if before else spark.conf.unset(_CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

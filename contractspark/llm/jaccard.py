@@ -10,9 +10,9 @@ entries are bounded away before they are formed:
   counts depend on a row's size level; a row also signs for the level below if a smaller partner may be there. (A row with
   so many empty blocks that the agreeing ones might all be empty signs for an empty block as well; others needn't.)
 * Signatures are dealt by range of (signature, class), which splits a hot one over tasks; only those that two classes share
-  go on. Rows that link share all agreeing blocks that aren't empty, at least ``need`` of them (all blocks with columns, less k).
-  A row with fewer shared signatures than it needs links nothing and leaves; that may leave others with too few, so this is
-  done twice.
+  go on. Rows that link share all agreeing blocks that aren't empty, at least ``need`` of them: all blocks with columns, less
+  the columns in which a row of this very size can differ, which are fewer than the ``k`` of its level. A row with fewer
+  shared signatures than it needs links nothing and leaves; that may leave others with too few, so this is done twice.
 * A group of one signature is represented by its lead, the row of the group whose signatures reach most rows (of a text and
   its edited copies that is the text). A row is first multiplied with the one lead that it shares most signatures with, then
   with its other leads outside its component if it shares enough with them, in 16 bits a column first: pairs that share too few
@@ -24,6 +24,8 @@ entries are bounded away before they are formed:
   needs no more links. A task holds two blocks and accumulates the overlaps of their rows over all shared columns, discards
   what the bound excludes, and sends on only links that join two components. This last step is quadratic in the bytes of an
   open family.
+* Stars and block products are sent in rounds of bounded bytes, a share of those of all rows; the shuffle files of a round
+  are gone before the next, so time may grow with the square of an open family but disk doesn't.
 
 Overlaps are counts over the full rows; components come from label propagation by joins. Intermediate tables are deleted as
 soon as nothing reads them.
@@ -47,12 +49,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractspark.llm.common import blank_words, forget, stored
+from contractspark.llm.common import blank_words, forget, stored, stored_in_turn
 from contractspark.llm.decontaminate import expand
 
 _MEMORY = 400_000
 #: Ids (with class keys) of candidates that are broadcast to fetch their texts; with more, the texts are shuffled.
 BROADCAST_IDS = 300_000
+#: A round of products sends a quarter of the bytes of all rows at most, or these if they are more.
+ROUND_SHARE, ROUND_BYTES = 4, 64 << 20
 #: Bytes of rows in a batch of a star, and in one block of the product; rows that share a copy of their lead's row.
 PRODUCT_BYTES, BLOCK_BYTES, STAR_ROWS = 8 << 20, 4 << 20, 512
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
@@ -113,6 +117,11 @@ class Levels:
         k = (self.den - self.num) * self.tops[level] // self.num
         return k + 4 + k // 12, k
 
+    def differing(self, size: int, other: int | None = None) -> int:
+        """The most columns in which a row of the size differs from one that links: one of ``other`` columns at most, or any."""
+        # den * overlap >= num * (size + other - overlap); without a limit other is up to den / num of the size
+        return (self.den - self.num) * size // self.num if other is None else (self.den - self.num) * (size + other) // (self.den + self.num)
+
     def of(self, size: int) -> list[int]:
         """Levels to sign for: its own, and those of smaller rows that could link."""
         least = -(-self.num * size // self.den)
@@ -122,8 +131,8 @@ class Levels:
 
 def signatures(row: np.ndarray, levels: Levels) -> tuple[np.ndarray, int]:
     """A row's signatures, and how many of them any row that links shares with it at least."""
-    out, need = [], []
-    for level in levels.of(len(row)):
+    out, need, own_levels = [], [], levels.of(len(row))
+    for level in own_levels:
         n, k = levels.blocks(level)
         if k == 0:
             continue  # only equal rows link, and those are one class
@@ -133,8 +142,9 @@ def signatures(row: np.ndarray, levels: Levels) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         sums = np.add.reduceat(mixed(row[order], 3), at)
         out.append(mixed(sums + own[at].astype(np.uint64) * _ODD[1], 100 + level))
-        need.append(max(1, len(at) - k))  # n - k blocks agree, of which n - len(at) may be empty
-        if n - len(at) >= n - k:  # the agreeing blocks might all be empty
+        most = levels.differing(len(row), None if level == own_levels[-1] else levels.tops[level])
+        need.append(max(1, len(at) - most))  # each column in which it differs touches one of its blocks at most
+        if len(at) <= most:  # the agreeing blocks might all be empty
             empty = np.setdiff1d(np.arange(n), own[at]).astype(np.uint64)
             out.append(mixed(empty * _ODD[1], 100 + level))
     return (np.unique(np.concatenate(out)), min(need)) if out else (np.zeros(0, np.uint64), 0)
@@ -298,6 +308,13 @@ class _Join:
         return stars.select("a", "b", "row").mapInArrow(in_task, "a long, b long")
 
 
+def in_rounds(work: DataFrame, size: str, by: list[str], most: int) -> Iterator[DataFrame]:
+    """``work`` dealt by hash of ``by`` into as many parts as it takes for about ``most`` of the sum of ``size`` in each."""
+    rounds = max(1, -(-int(work.agg(F.sum(size)).first()[0] or 0) // max(1, most)))
+    for k in range(rounds):
+        yield work.where(F.pmod(F.xxhash64(*by), F.lit(rounds)) == k) if rounds > 1 else work
+
+
 def linked_blocks(num: int, den: int, block: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) that join components, among the rows of blocks ``i`` and ``j``: a sparse product row by row.
 
@@ -398,6 +415,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     leads = twice.join(reach, "node").groupBy("sig").agg(F.max(F.struct("reach", (-F.col("node")).alias("last"))).alias("best"))
     members = stored(twice.join(leads.select("sig", (-F.col("best")["last"]).alias("lead")), "sig"), "members")
     forget(twice)
+    most = max(ROUND_BYTES, int(nodes.agg(F.sum("size")).first()[0] or 0) * 8 // ROUND_SHARE)
     rows = stored(join.rows(reps.join(members.select("node").distinct(), "node").select("node", "rep", "c1", "c2")), "rows")
 
     # stars: each row with the lead it shares most with, then with the other leads it shares enough with
@@ -407,16 +425,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pairs = stored(counted.join(nodes, "node").join(lead, "lead").where(fits).select("lead", "node", "shared"), "pairs")
     best = pairs.groupBy("node").agg(F.max(F.struct("shared", (-F.col("lead")).alias("least"))).alias("best"))
     first = best.select((-F.col("best")["least"]).alias("a"), F.col("node").alias("b"))
-    edges = stored(join.linked(first, rows).distinct(), "links")
+    sized = nodes.select(F.col("node").alias("b"), "size")
+    stars = lambda pairs, bytes_each: in_rounds(pairs.join(sized, "b"), "size", ["a", "b"], most // bytes_each)
+    edges = stored_in_turn((join.linked(some.select("a", "b"), rows).distinct() for some in stars(first, 8)), "links")
     above = edges.select(F.col("b").alias("a"), F.col("a").alias("above"))  # a row has one link here at most: two steps up it
     tops = edges.join(above, "a", "left").select("b", F.coalesce("above", "a").alias("top"))
     of = lambda node, name: tops.select(F.col("b").alias(node), F.col("top").alias(name))
     apart = pairs.join(of("lead", "p"), "lead", "left").join(of("node", "q"), "node", "left").where(F.coalesce("p", "lead") != F.coalesce("q", "node"))
     others = apart.select(F.col("lead").alias("a"), F.col("node").alias("b")).join(first, ["a", "b"], "left_anti")
-    likely = stored(join.likely(others, rows).distinct(), "likely")  # nearly all of the others don't link: a quarter of their bytes shows that
-    more = stored(join.linked(likely, rows), "links")
+    others = stored(others, "others")
+    likely = stored_in_turn((join.likely(some.select("a", "b"), rows).distinct() for some in stars(others, 2)), "likely")  # nearly all of the others don't link: a quarter of their bytes shows that
+    more = stored_in_turn((join.linked(some.select("a", "b"), rows) for some in stars(likely, 8)), "links")
     comp = components(edges.union(more))
-    forget(pairs, likely)
+    forget(pairs, others, likely)
 
     # open groups: those whose rows without the lead are not one component
     rest = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -438,15 +459,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pooled = parts.where(~alone).groupBy("fam", "cls").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("n"))
     where = parts.join(pooled, ["fam", "cls"], "left").select("fam", "cls", "comp", F.when(alone, F.col("comp").cast("string")).otherwise(F.lit("")).alias("pool"),
                                                               F.when(alone, F.ceil(F.col("bytes") / BLOCK_BYTES)).otherwise(F.col("n")).alias("n"))
-    dealt = own.join(where, ["fam", "cls", "comp"]).select("fam", "cls", "comp", "node", F.concat_ws("/", "cls", "pool", F.pmod(F.xxhash64("node"), "n")).alias("blk"))
+    dealt = own.join(where, ["fam", "cls", "comp"]).select("fam", "cls", "comp", "node", "size", F.concat_ws("/", "cls", "pool", F.pmod(F.xxhash64("node"), "n")).alias("blk"))
     dealt = stored(dealt, "blocks")
-    blocks = dealt.groupBy("fam", "cls", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    other = blocks.select("fam", F.col("cls").alias("cls_j"), F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
+    blocks = dealt.groupBy("fam", "cls", "blk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum("size").alias("size"))
+    other = blocks.select("fam", F.col("cls").alias("cls_j"), F.col("blk").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"), F.col("size").alias("size_j"))
     meet = blocks.withColumnRenamed("blk", "i").join(other, "fam").where("i <= j and abs(cls - cls_j) <= 1 and (low < high or low_j < high_j or low != low_j)")
-    meet = meet.select("fam", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk"))
-    both = meet.join(dealt, ["fam", "blk"]).join(rows.dropDuplicates(["node"]), "node").select("fam", "i", "j", "blk", F.col("node").alias("rep"), "comp", "row")
-    found = stored(both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema), "links")
-    forget(left, rows, dealt)
+    meet = stored(meet.select("fam", "i", "j", (F.col("size") + F.when(F.col("i") < F.col("j"), F.col("size_j")).otherwise(0)).alias("size")), "meet")
+    open_rows = stored(rows.join(dealt.select("node"), "node", "left_semi").dropDuplicates(["node"]), "rows")
+    forget(rows)
+
+    def products(some: DataFrame) -> DataFrame:
+        both = some.select("fam", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("blk")).join(dealt.drop("size"), ["fam", "blk"])
+        both = both.join(open_rows, "node").select("fam", "i", "j", "blk", F.col("node").alias("rep"), "comp", "row")
+        return both.groupBy("fam", "i", "j").applyInPandas(lambda block: linked_blocks(num, den, block), edges.schema)
+
+    found = stored_in_turn((products(some) for some in in_rounds(meet, "size", ["fam", "i", "j"], most // 8)), "links")
+    forget(left, open_rows, dealt, meet)
     comp = components(edges.union(more).union(found))
     forget(edges, more, found)
 

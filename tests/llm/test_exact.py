@@ -1,6 +1,7 @@
 """Operators with exact results, against brute force and round trips."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from contractspark.llm import decontaminate, imatch, jaccard, line_dedup, packing, secrets_scan, sharding, url_filter
+from contractspark.llm import common, decontaminate, imatch, jaccard, line_dedup, packing, secrets_scan, sharding, url_filter
 from contractspark.llm.queries import ORACLE, QUERIES, URL_RULES, word_bpe_path
 
 from . import cases
@@ -82,6 +83,58 @@ def test_jaccard_small_blocks_and_stars(spark, monkeypatch, block, star, n, num,
     assert got == cases.components(docs, n, num, den)
 
 
+def test_jaccard_products_in_rounds(spark, monkeypatch):
+    """Stars and block products that are sent in several rounds of few bytes give the same components as all pairs."""
+    n, num, den = 5, 80, 100
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 3_000)
+    monkeypatch.setattr(jaccard, "ROUND_BYTES", 30_000)
+    monkeypatch.setattr(jaccard, "ROUND_SHARE", 10 ** 9)
+    rounds, dealt = [], jaccard.in_rounds
+
+    def counted(*args):
+        parts = list(dealt(*args))
+        rounds.append((args[1:3], len(parts), args[0].count(), sum(x.count() for x in parts)))
+        return parts
+
+    monkeypatch.setattr(jaccard, "in_rounds", counted)
+    docs = list(enumerate(chains(3_000), 7))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(cases.documents(spark, docs), n=n, num=num, den=den).collect()}
+    assert got == cases.components(docs, n, num, den)
+    assert all(whole == parts for _, _, whole, parts in rounds)
+    assert rounds[0][1] > 1 and [r for r in rounds if r[0][1] == ["fam", "i", "j"]][0][1] > 1
+
+
+def test_rows_need_all_blocks_but_those_of_their_own_differing_columns():
+    """How many signatures a row must share goes by its own size, not by the largest of its level; with columns enough it signs for no empty block."""
+    levels = jaccard.Levels(80, 100)
+    for size in (440, 480, 600, 690):
+        row = np.unique(np.random.default_rng(size).integers(0, 2 ** 64, size, np.uint64))
+        assert levels.of(size)[-1] == levels.level(700)
+        with np.errstate(over="ignore"):
+            own, need = jaccard.signatures(row, levels)
+        blocks = {k: len(np.unique(jaccard.mixed(row, 2) % np.uint64(levels.blocks(k)[0]))) for k in levels.of(size)}
+        assert len(own) == sum(blocks.values())
+        own_level = levels.level(size)
+        assert need == min(b - (size * 20 // 80 if k == own_level else (size + levels.tops[k]) * 20 // 180) for k, b in blocks.items()) > 10
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    files = lambda: {f.getName() for f in iter_of(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())}
+    iter_of = lambda seq: (seq.apply(k) for k in range(seq.size()))
+    before, setting = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    numbers = [spark.range(k, 20_000 + k).repartition(4, "id") for k in (0, 20_000)]
+    out = common.stored_in_turn(numbers, "numbers")
+    left = {"?"}
+    for _ in range(100):  # Spark deletes them beside the query's end
+        left = {f for f in files() - before if f.startswith("shuffle_")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and out.distinct().count() == out.count() == 40_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    common.forget(out)
+
+
 def test_jaccard_short_rows_keep_every_link_and_few_other_pairs(spark):
     rng = np.random.default_rng(1)
     lead = np.unique(rng.integers(0, 2 ** 64, 1000, np.uint64))
